@@ -1,0 +1 @@
+"""Intentionally empty: every load in this workload is a batch full refresh, so there is no stream."""
