@@ -134,10 +134,6 @@ def _period(start: Column, end: Column) -> Column:
     return F.concat(start.cast("string"), F.lit("–"), end.cast("string"))
 
 
-def _year_of(column: Column) -> Column:
-    return F.year(column)
-
-
 def headline() -> Column:
     first_year = F.year(F.col("first")["date"])
     return F.struct(
