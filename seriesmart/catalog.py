@@ -18,7 +18,12 @@ from seriesmart.operators import analysis as A
 from seriesmart.operators import quality as Q
 from seriesmart.operators import semantic as S
 from seriesmart.operators.reporting import calendar_lag, with_lags
-from seriesmart.operators.staging import dedupe, stg_observations, typed_observations
+from seriesmart.operators.staging import (
+    dedupe,
+    deduplicated,
+    stg_observations,
+    typed_observations,
+)
 from seriesmart.operators.star import day_spine, dim_date, dim_series, fct_observations
 from seriesmart.plans import gap_report, kpis, marts, pages
 from seriesmart.plans.checks import CHECKS
@@ -59,8 +64,8 @@ def _star(
     """Fact and series dimension of the dataflows and extracts a query selects from."""
     lf = B.lf_observations(spark, d, extracts) if extracts else None
     acct = B.account_observations(spark, d) if account else None
-    series = dim_series(typed_observations(lf, acct), B.code_lists(spark, d))
-    return fct_observations(stg_observations(lf, acct)), series
+    typed = typed_observations(lf, acct)
+    return fct_observations(deduplicated(typed)), dim_series(typed, B.code_lists(spark, d))
 
 
 def _national(spark: SparkSession, d: str) -> DataFrame:
@@ -79,8 +84,16 @@ def _industry(spark: SparkSession, d: str) -> DataFrame:
     return marts.industry_breakdown(*_star(spark, d, account=True))
 
 
-def _marts(spark: SparkSession, d: str) -> marts.Marts:
-    return marts.Marts(_national(spark, d), _state(spark, d), _ftpt(spark, d), _industry(spark, d))
+def _all_marts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {**_national_marts(spark, d), "state": _state(spark, d), "industry": _industry(spark, d)}
+
+
+def _national_marts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    fact, series = _star(spark, d, OVERLAPPING)
+    return {
+        "national": marts.national_overview(fact, series),
+        "ftpt": marts.fulltime_parttime(fact, series),
+    }
 
 
 # --- Ingestion -----------------------------------------------------------------------------------
@@ -245,18 +258,20 @@ def calendar_and_positional_lag(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def kpi_latest(spark: SparkSession, d: str) -> DataFrame:
-    return kpis.kpi_values(_marts(spark, d), at_flag=False)
+    at_last_date = [m for m in kpis.MEASURES if m.flag is None]
+    return kpis.kpi_values(_national_marts(spark, d), at_last_date)
 
 
 @query
 def kpi_flagged(spark: SparkSession, d: str) -> DataFrame:
-    return kpis.kpi_values(_marts(spark, d), at_flag=True)
+    under_flag = [m for m in kpis.MEASURES if m.flag is not None]
+    wanted = {"state": _state(spark, d), "industry": _industry(spark, d), "ftpt": _ftpt(spark, d)}
+    return kpis.kpi_values(wanted, under_flag)
 
 
 @query
 def kpi_labels(spark: SparkSession, d: str) -> DataFrame:
-    values = _marts(spark, d)
-    return kpis.kpi_texts(kpis.kpi_values(values, False).unionByName(kpis.kpi_values(values, True)))
+    return kpis.kpi_texts(kpis.kpi_values(_all_marts(spark, d)))
 
 
 @query
@@ -481,6 +496,12 @@ def dq_coverage(spark: SparkSession, d: str) -> DataFrame:
     return Q.failing_coverage(_state(spark, d), "date", "region_code", B.REGIONS)
 
 
+@query
+def dq_coverage_days(spark: SparkSession, d: str) -> DataFrame:
+    """Days on which not every order priority occurs."""
+    return Q.failing_coverage(B.table(spark, d, "orders"), "o_orderdate", "o_orderpriority", 5)
+
+
 @query
 def dq_basis(spark: SparkSession, d: str) -> DataFrame:
     """The check as declared, which cannot fail, and over what feeds a national comparison."""

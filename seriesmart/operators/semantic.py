@@ -39,27 +39,37 @@ def with_calendar(mart: DataFrame, calendar: DataFrame, date: str = "date") -> D
     return mart.join(calendar.withColumnRenamed("date", date), date, "left")
 
 
-def latest_value(
-    df: DataFrame, columns: list[str], where: Column | None = None, date: str = "date"
-) -> DataFrame:
-    """The greatest value of each column on the last date of ``df``.
+def at_latest(column: str, where: Column | None = None, date: str = "date") -> Column:
+    """Aggregate: the greatest value of a column on the last date.
 
     The last date is that of all rows; ``where`` limits only the rows the value is taken from.
-    One aggregate: the greatest (date, value) pair, a null value being the least.
+    It is the greatest (date, value) pair, a null value being the least.
     """
-    kept = [F.col(c) if where is None else F.when(where, F.col(c)) for c in columns]
-    pairs = [F.max(F.struct(F.col(date), k.alias("value"))) for k in kept]
-    return df.agg(*[pair["value"].alias(c) for pair, c in zip(pairs, columns)])
+    value = F.col(column) if where is None else F.when(where, F.col(column))
+    return F.max(F.struct(F.col(date), value.alias("value")))["value"]
+
+
+def at_flag(column: str, flag: str, where: Column | None = None) -> Column:
+    """Aggregate: the greatest value of a column over the rows a latest-flag marks."""
+    marked = F.col(flag) == 1
+    return F.max(F.when(marked if where is None else marked & where, F.col(column)))
+
+
+def latest_value(
+    df: DataFrame, columns: list[str], where: Column | None = None, date: str = "date"
+) -> DataFrame:
+    """One row: the value of each column on the last date of ``df``."""
+    return df.agg(*[at_latest(c, where, date).alias(c) for c in columns])
 
 
 def flagged_value(
     df: DataFrame, flag: str, columns: list[str], where: Column | None = None, by: str | None = None
 ) -> DataFrame:
-    """The greatest value of each column over the rows a latest-flag marks, overall or by entity."""
+    """The value of each column under the latest-flag, overall or by entity."""
     rows = df.filter(F.col(flag) == 1)
-    if where is not None:
-        rows = rows.filter(where)
-    return rows.groupBy(*([by] if by else [])).agg(*[F.max(c).alias(c) for c in columns])
+    return rows.groupBy(*([by] if by else [])).agg(
+        *[at_flag(c, flag, where).alias(c) for c in columns]
+    )
 
 
 def is_averaged(column: str) -> bool:

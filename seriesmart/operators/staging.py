@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seriesmart.functions.keys import parse_period, series_key
@@ -88,18 +89,22 @@ def typed_observations(
 def dedupe(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """One row per key: the first by ``order_by``, the remaining columns breaking ties.
 
-    Taking the least row is an aggregate, so copies are dropped before the shuffle and a key that
-    holds most of the table sends one row per task.
+    Because only the first row is kept, Spark limits each key to one row per task before the
+    shuffle, so a key that holds most of the table stays small.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    first = F.min(F.struct(*order_by, *rest)).alias("first")
-    kept = df.groupBy(*keys).agg(first)
-    return kept.select(*[c if c in keys else F.col(f"first.{c}") for c in df.columns])
+    window = W.partitionBy(*keys).orderBy(*order_by, *rest)
+    numbered = df.withColumn("copy_number", F.row_number().over(window))
+    return numbered.filter(F.col("copy_number") == 1).drop("copy_number")
+
+
+def deduplicated(typed: DataFrame) -> DataFrame:
+    """One row per series and period; of overlapping extracts the alphabetically first is kept."""
+    return dedupe(typed, ["series_id", "period_date"], ["source_extract"]).select(*STAGED)
 
 
 def stg_observations(
     raw_lf: DataFrame | None = None, raw_account: DataFrame | None = None
 ) -> DataFrame:
-    """One row per series and period; of overlapping extracts the alphabetically first is kept."""
-    typed = typed_observations(raw_lf, raw_account)
-    return dedupe(typed, ["series_id", "period_date"], ["source_extract"]).select(*STAGED)
+    """The staging layer: aligned, dated, typed, without gaps and without copies."""
+    return deduplicated(typed_observations(raw_lf, raw_account))

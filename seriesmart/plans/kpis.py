@@ -16,8 +16,7 @@ from seriesmart.functions.labels import (
     change_label,
     format_value,
 )
-from seriesmart.operators.semantic import flagged_value, latest_value
-from seriesmart.plans.marts import Marts
+from seriesmart.operators.semantic import at_flag, at_latest
 
 
 @dataclass(frozen=True)
@@ -59,35 +58,21 @@ LABELS = {
 }
 
 
-def measures_of(marts: Marts, mart: str, at_flag: bool) -> list[Measure]:
-    return [m for m in MEASURES if m.mart == mart and (m.flag is not None) == at_flag]
+def _aggregate(measure: Measure) -> Column:
+    where = F.col("sex_label") == "Persons" if measure.persons else None
+    if measure.flag:
+        return at_flag(measure.column, measure.flag, where)
+    return at_latest(measure.column, where)
 
 
-def _where(measure: Measure) -> Column | None:
-    return F.col("sex_label") == "Persons" if measure.persons else None
-
-
-def _named_rows(row: DataFrame, measures: list[Measure]) -> DataFrame:
-    """One row of columns to one row per measure; two measures may share a column."""
-    wide = row.select(*[F.col(m.column).alias(m.name) for m in measures])
-    return wide.unpivot([], [m.name for m in measures], "measure", "value")
-
-
-def kpi_values(marts: Marts, at_flag: bool) -> DataFrame:
-    """(measure, value): the measures on the last date, or those under a latest flag."""
+def kpi_values(marts: dict[str, DataFrame], measures: list[Measure] = MEASURES) -> DataFrame:
+    """(measure, value) of the measures whose mart is given, one pass over each mart."""
     parts = []
-    for mart in ("national", "state", "industry", "ftpt"):
-        measures = measures_of(marts, mart, at_flag)
-        if not measures:
-            continue
-        df, columns = getattr(marts, mart), sorted({m.column for m in measures})
-        where, flag = _where(measures[0]), measures[0].flag
-        row = (
-            flagged_value(df, flag, columns, where)
-            if at_flag
-            else latest_value(df, columns, where)
-        )
-        parts.append(_named_rows(row, measures))
+    for name, mart in marts.items():
+        wanted = [m for m in measures if m.mart == name]
+        if wanted:
+            row = mart.agg(*[_aggregate(m).alias(m.name) for m in wanted])
+            parts.append(row.unpivot([], [m.name for m in wanted], "measure", "value"))
     return reduce(DataFrame.unionByName, parts)
 
 

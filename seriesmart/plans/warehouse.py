@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmart.operators import quality as Q
-from seriesmart.operators.staging import stg_observations, typed_observations
+from seriesmart.operators.staging import deduplicated, typed_observations
 from seriesmart.operators.star import dim_date, dim_series, fct_observations
 from seriesmart.plans.checks import CHECKS
 from seriesmart.plans.marts import STATES, Marts, build_marts
@@ -107,14 +107,15 @@ def build(spark: SparkSession, cfg: Config) -> Build:
     lf, account = result.raw[LABOUR_FORCE], result.raw[LABOUR_ACCOUNT]
     _singular(result, "overlapping_extracts_agree", Q.overlapping_extracts(lf))
 
-    staged = stg_observations(lf, account)
+    typed = typed_observations(lf, account)
+    staged = deduplicated(typed)
     if cfg.stage_as_table:
         staged = overwrite_table(staged, "staging.stg_labour_force")
     staged.createOrReplaceTempView("stg_labour_force")
     result.staged = staged
     _pass(result, "stg_labour_force", staged, seeds)
 
-    observed = staged if cfg.stage_as_table else typed_observations(lf, account)
+    observed = staged if cfg.stage_as_table else typed
     result.dates = overwrite_table(dim_date(observed), "core.dim_date")
     _pass(result, "dim_date", result.dates)
     codes = CodeLists.standard(spark)
