@@ -22,9 +22,17 @@ def surrogate_key(series: Column, date: Column) -> Column:
 
 
 def parse_period(period: Column) -> Column:
-    """``YYYY`` and ``YYYY-MM`` to the first day of the period; anything else fails the query."""
+    """``YYYY`` and ``YYYY-MM`` to the first day of the period; anything else fails the query.
+
+    The dash is tested because a cast alone would read a year of five digits.
+    """
     text = F.rtrim(period)
-    return F.concat(text, F.when(F.length(text) == 4, "-01-01").otherwise("-01")).cast("date")
+    rest = (
+        F.when(F.length(text) == 4, "-01-01")
+        .when(F.substring(text, 5, 1) == "-", "-01")
+        .when(text.isNotNull(), F.raise_error(F.concat(F.lit("not a period: "), text)).cast("string"))
+    )
+    return F.concat(text, rest).cast("date")
 
 
 def month_index(date: Column) -> Column:

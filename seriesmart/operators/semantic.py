@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,13 +157,17 @@ def crosstab(df: DataFrame, row: str, column: str, members: list[str], value: st
 
 @dataclass(frozen=True)
 class Chart:
-    """A chart of a page: values by category, split by series, over the rows of a filter."""
+    """A chart of a page: values by category, split by series, over the rows of a filter.
+
+    The categories of a ranked chart are numbered from the greatest value down.
+    """
 
     name: str
     category: str
     values: tuple[str, ...]
     series: str | None = None
     where: Column | None = None
+    ranked: bool = False
 
 
 @dataclass(frozen=True)
@@ -175,7 +180,7 @@ class Card:
 
 
 def page_rows(mart: DataFrame, charts: list[Chart], cards: list[Card] = ()) -> DataFrame:
-    """All visuals of a page in one pass: (visual, category, series, measure, value).
+    """All visuals of a page in one pass: (visual, category, series, measure, value, position).
 
     Each mart row is emitted once per visual it belongs to, so a page costs one run of the mart
     and one aggregation whatever the number of its visuals.
@@ -217,4 +222,9 @@ def page_rows(mart: DataFrame, charts: list[Chart], cards: list[Card] = ()) -> D
         .when(kind == "average", F.col("average"))
         .otherwise(F.col("latest"))
     )
-    return totals.select("visual", "category", "series", "measure", value.alias("value"))
+    rows = totals.select("visual", "category", "series", "measure", value.alias("value"))
+    ranked = F.col("visual").isin([c.name for c in charts if c.ranked])
+    # Only the categories of a ranked chart meet in one partition, every other row has its own.
+    together = F.when(~ranked, F.struct("category", "series", "measure"))
+    order = W.partitionBy("visual", together).orderBy(F.col("value").desc_nulls_last(), "category")
+    return rows.withColumn("position", F.when(ranked, F.row_number().over(order).cast("bigint")))

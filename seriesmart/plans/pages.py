@@ -53,8 +53,8 @@ def page_state(state: DataFrame) -> DataFrame:
     """Two bars of the latest month and one line per state."""
     latest = F.col("is_latest_month") == 1
     charts = [
-        Chart("Unemployment Rate by State", "region_name", ("unemployment_rate_pct",), where=latest),
-        Chart("Employed Persons by State", "region_name", ("employed_thousands",), where=latest),
+        Chart("Unemployment Rate by State", "region_name", ("unemployment_rate_pct",), where=latest, ranked=True),
+        Chart("Employed Persons by State", "region_name", ("employed_thousands",), where=latest, ranked=True),
         Chart("Unemployment Rate Trend by State", "date", ("unemployment_rate_pct",), "region_name"),
     ]
     return page_rows(state, charts)
@@ -68,6 +68,7 @@ def page_industry(industry: DataFrame) -> DataFrame:
             "industry_name",
             ("employed_thousands",),
             where=F.col("is_latest_year") == 1,
+            ranked=True,
         ),
         Chart(
             "Employment Trend Focus Industries",
