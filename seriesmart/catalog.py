@@ -240,6 +240,27 @@ def mart_industry(spark: SparkSession, d: str) -> DataFrame:
     return _industry(spark, d)
 
 
+@query
+def mart_national_full_star(spark: SparkSession, d: str) -> DataFrame:
+    """The national mart selected from a star of every extract of both dataflows."""
+    return marts.national_overview(*_star(spark, d, B.LF_EXTRACTS, account=True))
+
+
+@query
+def mart_region_full_star(spark: SparkSession, d: str) -> DataFrame:
+    return marts.unemployment_by_state(*_star(spark, d, B.LF_EXTRACTS, account=True))
+
+
+@query
+def mart_ftpt_full_star(spark: SparkSession, d: str) -> DataFrame:
+    return marts.fulltime_parttime(*_star(spark, d, B.LF_EXTRACTS, account=True))
+
+
+@query
+def mart_industry_full_star(spark: SparkSession, d: str) -> DataFrame:
+    return marts.industry_breakdown(*_star(spark, d, B.LF_EXTRACTS, account=True))
+
+
 @query
 def calendar_and_positional_lag(spark: SparkSession, d: str) -> DataFrame:
     """Orders per customer and month against the twelfth row before and the month a year before."""

@@ -51,7 +51,10 @@ def growth_category(change_pct: Column, band: float = 2.0) -> Column:
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum that does not depend on the order in which tasks deliver their partial sums."""
+    """Sum that does not depend on the order in which tasks deliver their partial sums.
+
+    For presented values: six decimals are kept of each.
+    """
     return F.sum(value.cast("decimal(28,6)")).cast("double")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,10 +94,13 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
 
 def check_export_header(spark: SparkSession, path: str, columns: list[str]) -> str:
     """ok, stale, or skipped where nothing has been exported yet."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    try:
+        exported = read_export(spark, path).columns
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return "skipped"
-    verdict, *_ = contract_status(columns, read_export(spark, path).columns)
+    verdict, *_ = contract_status(columns, exported)
     return "ok" if verdict == "ok" else "stale"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -86,9 +87,16 @@ def local_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     return spark.createDataFrame(pa.table(columns)).to(schema)
 
 
+# The code lists already made, by session; they are literals and never change.
+_LOADED: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
 def load_seed(spark: SparkSession, name: str) -> DataFrame:
     """One code list with its declared column types."""
-    return local_rows(spark, SEED_ROWS[name], SEED_SCHEMAS[name])
+    loaded = _LOADED.setdefault(spark, {})
+    if name not in loaded:
+        loaded[name] = local_rows(spark, SEED_ROWS[name], SEED_SCHEMAS[name])
+    return loaded[name]
 
 
 @dataclass(frozen=True)
