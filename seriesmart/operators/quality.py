@@ -42,13 +42,16 @@ def failing_accepted(
 
 
 def failing_fk(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """(value, n_rows) of values without a parent row; nulls refer to nothing."""
+    """(value, n_rows) of values without a parent row; nulls refer to nothing.
+
+    Both sides are reduced to distinct keys, which leaves them partitioned as the join needs them.
+    """
     keys = (
         child.filter(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    known = parent.select(F.col(parent_column).alias(column))
+    known = parent.select(F.col(parent_column).alias(column)).distinct()
     return keys.join(known, column, "left_anti")
 
 

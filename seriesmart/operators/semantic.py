@@ -104,11 +104,8 @@ def chart_query(
 def percent_of_total(df: DataFrame, category: str, value: str) -> DataFrame:
     """Sum per category and its percentage of the sum of all."""
     slices = df.groupBy(category).agg(exact_sum(F.col(value)).alias(value))
-    # The total is computed from the slices, whose exchange Spark reuses for it.
-    total = slices.agg(F.max(F.struct(category)).alias("any"), exact_sum(F.col(value)).alias("total"))
-    return slices.withColumn(
-        "percent_of_total", percent_of(F.col(value), total.select("total").scalar())
-    )
+    total = slices.agg(exact_sum(F.col(value)).alias("total")).scalar()
+    return slices.withColumn("percent_of_total", percent_of(F.col(value), total))
 
 
 def trailing_years(df: DataFrame, years: int, date: str = "date") -> DataFrame:

@@ -29,7 +29,8 @@ class MissingExtract(FileNotFoundError):
 def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A CSV file or folder with a header, every column a string.
 
-    Leave ``multi_line`` off unless cells hold line breaks: it makes a file unsplittable.
+    The part files of a folder share one header. Leave ``multi_line`` off unless cells hold line
+    breaks: it makes a file unsplittable.
     """
     reader = (
         spark.read.option("header", True)
