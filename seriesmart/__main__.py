@@ -16,14 +16,12 @@ def main() -> None:
     parser.add_argument("raw_dir", help="folder with one CSV per extract")
     parser.add_argument("--export-dir", help="write the marts as CSV below this folder")
     parser.add_argument("--figures", help="write the figures document to this folder")
-    parser.add_argument("--stage-as-table", action="store_true", help="write the staging layer")
+    parser.add_argument("--views", action="store_true", help="keep staging and marts as views")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("seriesmart").getOrCreate()
-    result = build(
-        spark,
-        Config(args.raw_dir, stage_as_table=args.stage_as_table, export_dir=args.export_dir),
-    )
+    cfg = Config(args.raw_dir, write_all=not args.views, export_dir=args.export_dir)
+    result = build(spark, cfg)
     for name, rows in result.checks.items():
         failures = sum(r.failures for r in rows)
         print(f"{name:32} {len(rows):>3} checks {failures:>6} failures")

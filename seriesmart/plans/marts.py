@@ -180,6 +180,14 @@ def industry_breakdown(fact: DataFrame, series: DataFrame) -> DataFrame:
     return _contract(present(changes, {level: 1, change: 1}), "v_industry_breakdown")
 
 
+MART_VIEWS = {
+    "national": "v_national_overview",
+    "state": "v_unemployment_by_state",
+    "ftpt": "v_fulltime_parttime",
+    "industry": "v_industry_breakdown",
+}
+
+
 @dataclass(frozen=True)
 class Marts:
     """The reporting layer."""
@@ -190,12 +198,11 @@ class Marts:
     industry: DataFrame
 
     def by_name(self) -> dict[str, DataFrame]:
-        return {
-            "v_national_overview": self.national,
-            "v_unemployment_by_state": self.state,
-            "v_fulltime_parttime": self.ftpt,
-            "v_industry_breakdown": self.industry,
-        }
+        return {view: getattr(self, part) for part, view in MART_VIEWS.items()}
+
+    @classmethod
+    def of_names(cls, views: dict[str, DataFrame]) -> Marts:
+        return cls(**{part: views[view] for part, view in MART_VIEWS.items()})
 
 
 def build_marts(fact: DataFrame, series: DataFrame) -> Marts:

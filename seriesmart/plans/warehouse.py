@@ -39,14 +39,15 @@ RAW_TABLES = {
 class Config:
     """What to build from where.
 
-    ``stage_as_table`` writes the staging layer instead of keeping it a view. It costs one write
-    and saves the checks and the fact a second deduplication, which pays on large inputs.
+    Raw and core tables are always written. ``write_all`` also writes staging and marts under their
+    schema, so that checks, marts and report queries read them instead of deriving them again;
+    without it those two layers are views, derived whenever they are read.
     """
 
     raw_dir: str
     extracts: tuple[Extract, ...] = EXTRACTS
     members: int = 8
-    stage_as_table: bool = False
+    write_all: bool = True
     export_dir: str | None = None
 
 
@@ -75,6 +76,14 @@ def land(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     return raw
 
 
+def _publish(df: DataFrame, schema: str, name: str, cfg: Config) -> DataFrame:
+    """Make a layer readable by name, as a table where the configuration says so."""
+    if cfg.write_all:
+        df = overwrite_table(df, f"{schema}.{name}")
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def _pass(build: Build, name: str, df: DataFrame, parents: dict[str, DataFrame] | None = None) -> None:
     build.checks[name] = Q.enforce(name, Q.run_checks(df, CHECKS[name], parents))
 
@@ -90,8 +99,7 @@ def _singular(build: Build, name: str, failing: DataFrame) -> None:
 def build(spark: SparkSession, cfg: Config) -> Build:
     """Everything from files to marts. A failed check stops the build before its dependants.
 
-    The core tables are written, so that marts read columns from disk; staging and marts are
-    views unless configured otherwise.
+    Each layer reads columns of the one before from disk.
     """
     result = Build()
     ensure_schemas(spark)
@@ -108,14 +116,10 @@ def build(spark: SparkSession, cfg: Config) -> Build:
     _singular(result, "overlapping_extracts_agree", Q.overlapping_extracts(lf))
 
     typed = typed_observations(lf, account)
-    staged = deduplicated(typed)
-    if cfg.stage_as_table:
-        staged = overwrite_table(staged, "staging.stg_labour_force")
-    staged.createOrReplaceTempView("stg_labour_force")
-    result.staged = staged
+    staged = result.staged = _publish(deduplicated(typed), "staging", "stg_labour_force", cfg)
     _pass(result, "stg_labour_force", staged, seeds)
 
-    observed = staged if cfg.stage_as_table else typed
+    observed = staged if cfg.write_all else typed
     result.dates = overwrite_table(dim_date(observed), "core.dim_date")
     _pass(result, "dim_date", result.dates)
     codes = CodeLists.standard(spark)
@@ -132,10 +136,11 @@ def build(spark: SparkSession, cfg: Config) -> Build:
     parents = {**seeds, "dim_series": result.series, "dim_date": result.dates}
     _pass(result, "fct_labour_force", result.fact, parents)
 
-    result.marts = build_marts(result.fact, result.series)
-    for name, df in result.marts.by_name().items():
-        df.createOrReplaceTempView(name)
-        _pass(result, name, df, parents)
+    marts = build_marts(result.fact, result.series).by_name()
+    for name, df in marts.items():
+        marts[name] = _publish(df, "mart", name, cfg)
+        _pass(result, name, marts[name], parents)
+    result.marts = Marts.of_names(marts)
     _singular(
         result,
         "all_members_present",
