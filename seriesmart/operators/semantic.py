@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,9 +16,12 @@ from seriesmart.operators.reporting import latest_date
 
 # --- Fixed values: which columns are averaged and how columns are typed, by name -----------------
 
-AVERAGED = ("rate", "pct", "ratio", "share", "ppt")
-NUMBER_SUFFIXES = ("_pct", "_ppt", "_thousands")
-FLAG_PREFIXES = ("is_", "rank_")
+AVERAGED = re.compile("rate|pct|ratio|share|ppt")
+TYPES_BY_NAME = {
+    "date": T.DateType(),
+    "(is|rank)_.*": T.LongType(),
+    ".*_(pct|ppt|thousands)": T.DoubleType(),
+}
 
 
 def keep(df: DataFrame, column: str, values: list, exclude: bool = False) -> DataFrame:
@@ -74,7 +78,7 @@ def flagged_value(
 
 
 def is_averaged(column: str) -> bool:
-    return any(part in column for part in AVERAGED)
+    return AVERAGED.search(column) is not None
 
 
 def auto_agg(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -123,13 +127,9 @@ def to_millions(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def type_of_name(column: str) -> T.DataType:
-    if column == "date":
-        return T.DateType()
-    if column.startswith(FLAG_PREFIXES):
-        return T.LongType()
-    if column.endswith(NUMBER_SUFFIXES):
-        return T.DoubleType()
-    return T.StringType()
+    """The type of the first name pattern that fits the whole name, text if none does."""
+    fitting = (kind for name, kind in TYPES_BY_NAME.items() if re.fullmatch(name, column))
+    return next(fitting, T.StringType())
 
 
 def type_by_name(df: DataFrame) -> DataFrame:
