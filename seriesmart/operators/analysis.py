@@ -118,16 +118,25 @@ def profile(gaps: DataFrame, from_year: int = 2010, date: str = "date") -> DataF
     )
 
 
-def value_at(column: str, year: Column, date: str = "date") -> Column:
-    """A profile's value in a year: its first month, or the last month of all in the last year."""
-    last_year = F.year(F.col("last")[date])
-    return F.when(year == last_year, F.col("last")[column]).otherwise(
-        F.element_at("opening", year)[column]
-    )
+def month_at(year: Column, date: str = "date") -> Column:
+    """A profile's month for a year: its first one, or the last month of all in the last year."""
+    last = F.col("last")
+    return F.when(year == F.year(last[date]), last).otherwise(F.element_at("opening", year))
+
+
+def _first_year() -> Column:
+    return F.year(F.col("first")["date"])
+
 
+def _last_year() -> Column:
+    return F.year(F.col("last")["date"])
 
-def _change(column: str, start: Column, end: Column) -> Column:
-    return value_at(column, end) - value_at(column, start)
+
+def _changes(start: Column, end: Column) -> dict[str, Column]:
+    """What each side and the gap moved between two months."""
+    male = end["male_share"] - start["male_share"]
+    female = end["female_share"] - start["female_share"]
+    return {"male": male, "female": female, "gap": male - female}
 
 
 def _period(start: Column, end: Column) -> Column:
@@ -135,12 +144,12 @@ def _period(start: Column, end: Column) -> Column:
 
 
 def headline() -> Column:
-    first_year = F.year(F.col("first")["date"])
+    last = F.col("last")
     return F.struct(
-        round_half_even(F.col("last")["gap"], 1).alias("gap_now"),
-        round_half_even(F.col("last")["male_share"], 1).alias("male_share_now"),
-        round_half_even(F.col("last")["female_share"], 1).alias("female_share_now"),
-        round_half_even(value_at("gap", first_year), 1).alias("gap_start"),
+        round_half_even(last["gap"], 1).alias("gap_now"),
+        round_half_even(last["male_share"], 1).alias("male_share_now"),
+        round_half_even(last["female_share"], 1).alias("female_share_now"),
+        round_half_even(month_at(_first_year())["gap"], 1).alias("gap_start"),
         round_half_even(F.col("peak_gap"), 1).alias("gap_peak"),
         F.col("peak_date").alias("gap_peak_date"),
     )
@@ -153,43 +162,46 @@ def turning_point() -> Column:
         round_half_even(F.col("trough_level"), 1).alias("female_share_at_trough"),
         round_half_even(now, 1).alias("female_share_now"),
         round_half_even(now - F.col("trough_level"), 1).alias("recovery_ppt"),
-        (F.year("trough_date") - F.year(F.col("first")["date"])).alias("years_of_decline_before"),
+        (F.year("trough_date") - _first_year()).alias("years_of_decline_before"),
     )
 
 
 def contribution(start: Column, end: Column) -> Column:
-    """How much of a period's movement each side made, by size and whatever the direction."""
-    male, female = _change("male_share", start, end), _change("female_share", start, end)
-    moved = F.abs(male) + F.abs(female)
+    """How much of the movement between two years each side made, by size whatever the direction."""
+    moved = _changes(month_at(start), month_at(end))
+    men, women = F.abs(moved["male"]), F.abs(moved["female"])
+    both = men + women
     return F.struct(
         _period(start, end).alias("period"),
-        round_half_even(male - female, 1).alias("gap_change_ppt"),
-        round_half_even(male, 1).alias("male_change_ppt"),
-        round_half_even(female, 1).alias("female_change_ppt"),
-        round_half_even(percent_of(F.abs(male), moved), 0).cast("int").alias("from_men_pct"),
-        round_half_even(percent_of(F.abs(female), moved), 0).cast("int").alias("from_women_pct"),
+        *[round_half_even(moved[who], 1).alias(f"{who}_change_ppt") for who in ("gap", "male", "female")],
+        round_half_even(percent_of(men, both), 0).cast("int").alias("from_men_pct"),
+        round_half_even(percent_of(women, both), 0).cast("int").alias("from_women_pct"),
     )
 
 
-def eras(boundaries: list[Column]) -> Column:
-    """Array of the changes between each two successive boundary years that are increasing."""
+def _era(pair: Column) -> Column:
+    start, end = pair["start"], pair["end"]
+    moved = _changes(start["month"], end["month"])
+    opening = [F.make_date(mark["year"], F.lit(1), F.lit(1)) for mark in (start, end)]
+    years = F.datediff(opening[1], opening[0]) / 365.25
+    return F.struct(
+        _period(start["year"], end["year"]).alias("era"),
+        *[round_half_even(moved[who], 1).alias(f"{who}_change_ppt") for who in ("male", "female", "gap")],
+        round_half_even(moved["gap"] / years * 10, 1).alias("gap_change_per_decade"),
+    )
 
-    def era(start: Column, end: Column) -> Column:
-        male, female = _change("male_share", start, end), _change("female_share", start, end)
-        new_year = [F.make_date(y, F.lit(1), F.lit(1)) for y in (start, end)]
-        years = F.datediff(new_year[1], new_year[0]) / 365.25
-        return F.when(
-            start < end,
-            F.struct(
-                _period(start, end).alias("era"),
-                round_half_even(male, 1).alias("male_change_ppt"),
-                round_half_even(female, 1).alias("female_change_ppt"),
-                round_half_even(male - female, 1).alias("gap_change_ppt"),
-                round_half_even((male - female) / years * 10, 1).alias("gap_change_per_decade"),
-            ),
-        )
 
-    return F.array_compact(F.array(*[era(a, b) for a, b in zip(boundaries, boundaries[1:])]))
+def eras(boundaries: list[Column]) -> Column:
+    """Array of the changes between each two successive boundary years that are increasing."""
+    steps = len(boundaries) - 1
+    marks = F.array(*[F.struct(y.alias("year"), month_at(y).alias("month")) for y in boundaries])
+    pairs = F.zip_with(
+        F.slice(marks, 1, steps),
+        F.slice(marks, 2, steps),
+        lambda start, end: F.struct(start.alias("start"), end.alias("end")),
+    )
+    increasing = F.filter(pairs, lambda pair: pair["start"]["year"] < pair["end"]["year"])
+    return F.transform(increasing, _era)
 
 
 def era_boundaries(years: list[int]) -> list[Column]:
@@ -199,41 +211,37 @@ def era_boundaries(years: list[int]) -> list[Column]:
     dropped.
     """
     turn = F.year("trough_date")
-    fixed = [F.least(F.lit(y), turn) for y in years]
-    return [*fixed, turn, F.year(F.col("last")["date"])]
+    return [*[F.least(F.lit(y), turn) for y in years], turn, _last_year()]
 
 
 def levels() -> Column:
-    first_year = F.year(F.col("first")["date"])
+    start, now = month_at(_first_year()), F.col("last")
 
     def growth(column: str) -> Column:
-        ratio = F.col("last")[column] / F.nullif(value_at(column, first_year), F.lit(0.0))
-        return round_half_even((ratio - 1) * 100, 0).cast("int")
+        ratio = now[column] / F.nullif(start[column], F.lit(0.0))
+        return round_half_even((ratio - 1) * 100, 0).cast("int").alias(f"{column}_growth_pct")
 
-    def women_share(female: Column, male: Column) -> Column:
-        return round_half_even(percent_of(female, female + male), 1)
+    def women_share(month: Column) -> Column:
+        women = month["female_ft"]
+        return round_half_even(percent_of(women, women + month["male_ft"]), 1)
 
     return F.struct(
-        round_half_even(value_at("female_ft", first_year), 0).cast("int").alias("female_ft_start"),
-        round_half_even(F.col("last")["female_ft"], 0).cast("int").alias("female_ft_now"),
-        growth("female_ft").alias("female_ft_growth_pct"),
-        growth("male_ft").alias("male_ft_growth_pct"),
-        growth("female_pt").alias("female_pt_growth_pct"),
-        women_share(value_at("female_ft", first_year), value_at("male_ft", first_year)).alias(
-            "women_share_of_ft_jobs_start"
-        ),
-        women_share(F.col("last")["female_ft"], F.col("last")["male_ft"]).alias(
-            "women_share_of_ft_jobs_now"
-        ),
+        round_half_even(start["female_ft"], 0).cast("int").alias("female_ft_start"),
+        round_half_even(now["female_ft"], 0).cast("int").alias("female_ft_now"),
+        *[growth(column) for column in ("female_ft", "male_ft", "female_pt")],
+        women_share(start).alias("women_share_of_ft_jobs_start"),
+        women_share(now).alias("women_share_of_ft_jobs_now"),
     )
 
 
 def male_parttime() -> Column:
-    first_year = F.year(F.col("first")["date"])
-    start = percent_of(value_at("male_pt", first_year), value_at("male_tot", first_year))
-    now = percent_of(F.col("last")["male_pt"], F.col("last")["male_tot"])
+    """The part-time share of men in the first year and now."""
+    shares = {"start_pct": month_at(_first_year()), "now_pct": F.col("last")}
     return F.struct(
-        round_half_even(start, 1).alias("start_pct"), round_half_even(now, 1).alias("now_pct")
+        *[
+            round_half_even(percent_of(month["male_pt"], month["male_tot"]), 1).alias(name)
+            for name, month in shares.items()
+        ]
     )
 
 
@@ -244,5 +252,5 @@ def pace(from_year: int = 2010) -> Column:
     return F.struct(
         round_half_even(slope * 10, 1).alias(f"ppt_per_decade_since_{from_year}"),
         years.alias("years_to_parity_at_that_pace"),
-        (F.year(F.col("last")["date"]) + years).alias("parity_year_at_that_pace"),
+        (_last_year() + years).alias("parity_year_at_that_pace"),
     )
