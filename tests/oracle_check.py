@@ -22,7 +22,8 @@ def connect(directory: str) -> duckdb.DuckDBPyConnection:
     for name in TABLES:
         path = Path(directory) / f"{name}.parquet"
         if path.exists():
-            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+            files = f"{path}/*.parquet" if path.is_dir() else path
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 

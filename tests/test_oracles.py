@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from conftest import SF_SMALL
@@ -24,8 +25,12 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, con, name):
-    verdict, _ = compare(QUERIES[name](spark, SF_SMALL), con, ORACLES[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    verdict, _ = compare(df, con, ORACLES[name])
     assert verdict == "ok"
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    assert not re.search(r"EvalPython|MapInPandas|FlatMapGroupsInPandas|ArrowEval", plan)
 
 
 def test_entry_runs(spark):

