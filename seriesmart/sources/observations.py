@@ -160,10 +160,10 @@ def members_found(df: DataFrame, columns: Iterable[str], by: str | None = None)
     return exploded.select(*keys, "found.dimension", "found.member").distinct()
 
 
-def expectation_table(expect: dict[str, int], expected_alias: str = "expected") -> Column:
+def _expected(expect: dict[str, int]) -> Column:
     """The expected member count of a row's ``dimension``."""
     branches = [F.when(F.col("dimension") == c, F.lit(n)) for c, n in expect.items()]
-    return F.coalesce(*branches).cast("long").alias(expected_alias)
+    return F.coalesce(*branches).cast("long")
 
 
 def check_member_counts(df: DataFrame, expect: dict[str, int]) -> DataFrame:
@@ -175,9 +175,9 @@ def check_member_counts(df: DataFrame, expect: dict[str, int]) -> DataFrame:
     found = df.agg(*counts).unpivot([], list(expect), "dimension", "actual")
     return found.select(
         "dimension",
-        expectation_table(expect),
+        _expected(expect).alias("expected"),
         "actual",
-        (F.col("actual") == expectation_table(expect)).cast("int").alias("is_complete"),
+        (F.col("actual") == _expected(expect)).cast("int").alias("is_complete"),
     )
 
 
@@ -187,7 +187,7 @@ def slice_from_year(df: DataFrame, year: int, period: str = "time_period") -> Da
 
 
 def ingest_report(df: DataFrame, extracts: Iterable[Extract] = EXTRACTS) -> DataFrame:
-    """Per extract: rows landed and status ok, failed (no rows) or incomplete (members missing).
+    """Per extract: rows landed, status ok, failed (no rows) or incomplete, and what is missing.
 
     One pass over the appended rows, grouped by extract; hot extracts are combined map-side.
     """
@@ -208,17 +208,25 @@ def ingest_report(df: DataFrame, extracts: Iterable[Extract] = EXTRACTS) -> Data
         ", ".join(["source_extract string", *(f"expected_{c} long" for c in dimensions)]),
     )
     report = asked.join(landed, "source_extract", "left")
-    short = F.lit(False)
-    for c in dimensions:
-        found = F.coalesce(F.col(c), F.lit(0))
-        short = short | F.coalesce(F.col(f"expected_{c}") != found, F.lit(False))
     rows = F.coalesce(F.col("rows_landed"), F.lit(0))
-    status = F.when(rows == 0, "failed").when(short, "incomplete").otherwise("ok")
-    return report.select("source_extract", rows.alias("rows_landed"), status.alias("status"))
+    gaps = []
+    for c in dimensions:
+        expected, found = F.col(f"expected_{c}"), F.coalesce(F.col(c), F.lit(0))
+        text = F.concat(F.lit("expected "), expected, F.lit(f" distinct {c}, got "), found)
+        gaps.append(F.when((rows > 0) & (expected != found), text))
+    detail = F.nullif(F.concat_ws("; ", *gaps), F.lit("")) if gaps else F.lit(None).cast("string")
+    status = F.when(rows == 0, "failed").when(detail.isNotNull(), "incomplete").otherwise("ok")
+    return report.select(
+        "source_extract", rows.alias("rows_landed"), status.alias("status"), detail.alias("detail")
+    )
 
 
 def raise_on_problems(report: DataFrame) -> None:
     """Fail the run, after everything has been saved, if any extract is not ok."""
     bad = report.filter(F.col("status") != "ok").orderBy("source_extract").collect()
     if bad:
-        raise RuntimeError("; ".join(f"{r.source_extract}: {r.status}" for r in bad))
+        raise RuntimeError(
+            "; ".join(
+                f"{r.source_extract}: {r.status}" + (f" ({r.detail})" if r.detail else "") for r in bad
+            )
+        )
