@@ -8,10 +8,9 @@ import pytest
 from conftest import SF_SMALL
 
 from seriesmart.catalog import QUERIES
-from seriesmart.operators.reporting import select_facts
 from seriesmart.operators.staging import deduplicated, typed_observations
-from seriesmart.operators.star import fct_observations
-from seriesmart.plans.marts import INDUSTRY, NATIONAL
+from seriesmart.operators.star import dim_series, fct_observations
+from seriesmart.plans.marts import industry_breakdown, national_overview
 from seriesmart.sources import orders as B
 
 
@@ -48,15 +47,17 @@ def test_scans_read_only_what_they_need(spark):
     assert schemas == {"o_orderstatus:string,o_orderdate:timestamp_ntz,o_orderpriority:string"}
 
 
-def test_selection_reaches_the_series_side_of_a_stored_fact(spark, scratch):
-    typed = typed_observations(
-        B.lf_observations(spark, SF_SMALL), B.account_observations(spark, SF_SMALL)
-    )
+def test_marts_of_a_stored_star_skip_by_series_prefix(spark, scratch):
+    """The fact scan reads three columns and only what begins with a selected flow and measure."""
+    lf, account = B.lf_observations(spark, SF_SMALL), B.account_observations(spark, SF_SMALL)
+    typed = typed_observations(lf, account)
     fct_observations(deduplicated(typed)).write.parquet(f"{scratch}/fact")
-    fact = spark.read.parquet(f"{scratch}/fact")
-    series = spark.createDataFrame([], "series_id string, source_dataflow string, measure_code string, region_code string, sex_code string, age_code string, tsest_code string, is_industry_division int")
-    for where, prefix in ((NATIONAL, "LF.M13."), (INDUSTRY, "ABS_LABOUR_ACCT.M9.")):
-        plan = select_facts(fact, series, where)._jdf.queryExecution().sparkPlan().toString()
-        optimized = fact.filter(fact.series_id.startswith(prefix))._jdf.queryExecution().executedPlan().toString()
-        assert f"StringStartsWith(series_id,{prefix})" in optimized
-        assert "CartesianProduct" not in plan
+    dim_series(typed, B.code_lists(spark, SF_SMALL)).write.parquet(f"{scratch}/series")
+    fact, series = (spark.read.parquet(f"{scratch}/{name}") for name in ("fact", "series"))
+    for mart, prefix in (
+        (national_overview, "LF.M3."),
+        (industry_breakdown, "ABS_LABOUR_ACCT.M9."),
+    ):
+        plan = mart(fact, series)._jdf.queryExecution().executedPlan().toString()
+        assert f"StringStartsWith(series_id,{prefix})" in plan
+        assert "ReadSchema: struct<series_id:string,date_key:date,obs_value:double>" in plan
