@@ -30,7 +30,7 @@ LONG_WORD = 512
 #: Words of one recursive query have at most so many token rows over all rounds.
 ROUND_ROWS = 1_000_000
 #: Distinct units that a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Tokens of one decoding query, unless a single document has more.
 DECODED_ROWS = 1_000_000
 
@@ -78,7 +78,7 @@ class Bpe:
             for i in range(1, len(k))
             if k[:i] in ranks and k[i:] in ranks
         ]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         merges_rows = pa.table(
             {
                 "pair": pa.array([m[0] for m in merges], pa.int64()),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 RANGE_ROWS = 20_000
 
 
-def ranges_for(rows: int, least: int = 16) -> int:
+def ranges_for(rows: int, least: int = 64) -> int:
     """A power of two of ranges for so many rows."""
     return max(least, 1 << (rows // RANGE_ROWS).bit_length())
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmart.llm import bpe, fingerprint, mixing, packed_ids, sharding
+from seriesmart.llm import bpe, fingerprint, jaccard, mixing, packed_ids, sharding
 from seriesmart.llm.common import n_words, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +157,34 @@ def op10_packed_ids(spark: SparkSession, d: str) -> DataFrame:
     folder = packed_ids.id_folder(spark)
     files = packed_ids.write_ids(spark, docs, public_tokenizers.path(TOKENIZER), folder)
     return packed_ids.read_digests(spark, files, folder)
+
+
+# --- 3: n-gram Jaccard join ----------------------------------------------------------------------
+
+
+@query
+def op3_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.link_components(spark, table(spark, d, "documents"))
+
+
+ORACLES["op3_jaccard"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+    FROM words
+), sized AS MATERIALIZED (SELECT doc_id, len(s)::BIGINT AS n, s FROM sets
+), flat AS MATERIALIZED (SELECT doc_id, n, unnest(s) AS g FROM sized
+), linked AS MATERIALIZED (
+    SELECT a.doc_id AS u, b.doc_id AS v FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(u, v) AS (
+    SELECT doc_id, doc_id FROM sized
+    UNION SELECT r.u, l.v FROM reach r JOIN linked l ON r.v = l.u
+)
+SELECT s.doc_id, s.n AS n_shingles, min(r.v) AS component_id
+FROM sized s JOIN reach r ON r.u = s.doc_id GROUP BY s.doc_id, s.n
+"""
