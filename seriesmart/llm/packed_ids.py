@@ -31,7 +31,7 @@ MAGIC = b"IDPACK01"
 #: Ids in a block, unless one document has more.
 BLOCK_IDS = 1 << 18
 #: Distinct units that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 1_200_000
 
 
 def width(vocabulary: int) -> int:
