@@ -37,6 +37,9 @@ COUNTER_BITS = 22
 COUNTER_FRAGMENTS = 64
 #: Fragments of the hash order for verification: the top bits of a hash.
 FRAGMENT_BITS = 3
+#: Marks of the documents whose sets a verification needs, and the tasks that make them.
+MARK_BITS = 24
+MARK_TASKS = 8
 
 
 def _class_of(shingles: np.ndarray) -> int:
@@ -163,11 +166,34 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
 # --- Verification --------------------------------------------------------------------------------
 
 
-def _fragments(width: int):
+def _mark_of(ids: np.ndarray) -> np.ndarray:
+    return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    marks = np.zeros(1 << MARK_BITS, bool)
+    for batch in batches:
+        marks[_mark_of(batch.column(0).to_numpy())] = True
+    yield _batch(["marks"], pa.array([zlib.compress(np.packbits(marks).tobytes(), 1)], pa.binary()))
+
+
+def _marks(ids: DataFrame) -> np.ndarray:
+    """Which hashes of ids occur: a table of fixed size (2 MB) that spares texts a shuffle."""
+    found = np.zeros(1 << (MARK_BITS - 3), np.uint8)
+    for row in map_arrow(ids.repartition(MARK_TASKS), _mark, "marks binary").collect():
+        found |= np.frombuffer(zlib.decompress(row.marks), np.uint8)
+    return found
+
+
+def _fragments(width: int, marks):
+    """Fragments of the sets of marked documents, and of others whose id has the same hash."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(marks.value).astype(bool)
         for batch in batches:
-            for text in batch.column("text"):
-                found = shingle_set(text.as_py(), width)
+            wanted = marked[_mark_of(batch.column("doc_id").to_numpy())]
+            for k in np.flatnonzero(wanted):
+                found = shingle_set(batch.column("text")[int(k)].as_py(), width)
                 if not len(found):
                     continue
                 part = (found >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int32)
@@ -183,6 +209,18 @@ def _fragments(width: int):
     return run
 
 
+def _verified(
+    spark: SparkSession, rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """The pairs of classes that are links."""
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    sizes = stored(spark, classes.join(ends, "cls"), "sizes")
+    marks = spark.sparkContext.broadcast(_marks(sizes.select("first")))
+    made = map_arrow(rows, _fragments(width, marks), "cls long, fragment int, part array<long>")
+    parts = stored(spark, made, "fragments")
+    return stored(spark, _links(pairs, parts, sizes, percent), "links")
+
+
 def _links(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose overlap, summed over fragments, is enough."""
     left = parts.select(F.col("cls").alias("a"), "fragment", F.col("part").alias("part_a"))
@@ -243,12 +281,7 @@ def link_components(
 
     n, pos, m, at = (F.col(c) for c in ("n", "pos", "c_n", "c_pos"))
     starred = stored(spark, _pairs(beside.filter(_possible(percent, n, pos, m, at)), "cls", "c"), "pairs")
-    sized = stored(spark, classes.join(members.select("cls").distinct(), "cls"), "sized")
-    needed = rows.join(sized.select(F.col("first").alias("doc_id")), "doc_id", "left_semi").select("text")
-    parts = stored(
-        spark, map_arrow(needed, _fragments(width), "cls long, fragment int, part array<long>"), "fragments"
-    )
-    links = stored(spark, _links(starred, parts, sized, percent), "links")
+    links = _verified(spark, named, starred, classes, width, percent)
 
     labels = components(spark, links)
     of = members.join(labels.withColumnRenamed("v", "cls"), "cls", "left").withColumn(
@@ -266,7 +299,7 @@ def link_components(
         & _possible(percent, n, pos, F.col("o_n"), F.col("o_pos"))
     )
     left = stored(spark, _pairs(across, "cls", "o").join(starred, ["a", "b"], "left_anti"), "pairs")
-    more = stored(spark, _links(left, parts, sized, percent), "links")
+    more = _verified(spark, named, left, classes, width, percent)
     if more.limit(1).count():
         labels = components(spark, links.union(more))
 
