@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmart.llm import bpe, fingerprint, jaccard, mixing, packed_ids, sharding
+from seriesmart.llm import bpe, fingerprint, jaccard, mixing, packed_ids, sharding, topk
 from seriesmart.llm.common import n_words, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,3 +188,29 @@ WITH RECURSIVE words AS (
 SELECT s.doc_id, s.n AS n_shingles, min(r.v) AS component_id
 FROM sized s JOIN reach r ON r.u = s.doc_id GROUP BY s.doc_id, s.n
 """
+
+
+# --- 2: exact top-k search -----------------------------------------------------------------------
+
+
+@query
+def op2_topk(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_k(spark, table(spark, d, "embeddings"))
+
+
+ORACLES["op2_topk"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding,
+        lambda x: x IS NULL OR NOT isfinite(x)))
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT query_id, vec_id, score,
+        row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
