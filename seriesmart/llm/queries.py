@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmart.llm import bpe, fingerprint, jaccard, mixing, packed_ids, sharding, topk
+from seriesmart.llm import bpe, fingerprint, jaccard, langid, mixing, packed_ids, sharding, topk, toxicity
 from seriesmart.llm.common import n_words, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,3 +214,30 @@ WITH usable AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+# --- 5: language ID ------------------------------------------------------------------------------
+
+
+def fold(parts: int):
+    """crc32 of the id as text, modulo `parts`."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query
+def op5_langid(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = langid.train(spark, docs.filter(fold(4) != 2).select("doc_id", "text", "lang"))
+    found = langid.predict(spark, docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+# --- 8: toxicity ---------------------------------------------------------------------------------
+
+
+@query
+def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    model = toxicity.train(spark, docs, table(spark, d, "labels").filter(fold(3) != 1))
+    found = toxicity.score(spark, docs, model)
+    return found.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
