@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmart.llm import bpe, fingerprint, jaccard, langid, mixing, packed_ids, sharding, topk, toxicity
+from seriesmart.llm import bpe, fingerprint, jaccard, langid, mixing, packed_ids, passages, sharding, topk, toxicity
 from seriesmart.llm.common import n_words, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,3 +241,11 @@ def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
     model = toxicity.train(spark, docs, table(spark, d, "labels").filter(fold(3) != 1))
     found = toxicity.score(spark, docs, model)
     return found.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
+# --- 9: substring dedup --------------------------------------------------------------------------
+
+
+@query
+def op9_passages(spark: SparkSession, d: str) -> DataFrame:
+    return passages.repeated_passages(spark, table(spark, d, "documents")).drop("cls")
