@@ -174,12 +174,16 @@ def train(
 
 
 def predict(
-    spark: SparkSession, docs: DataFrame, model: Model | None, text: str = "text"
+    spark: SparkSession,
+    docs: DataFrame,
+    model: Model | None,
+    text: str = "text",
+    names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
     """`docs` with `lang_pred string` and `score double` (0 to 1, the mean probability of that language).
 
     All windows of a text count. A text that is null or has no letter is `und` with score 0, and so is
-    every text if there is no model. Columns of these names are replaced.
+    every text if there is no model. `names` are those of the two columns; columns that have them are replaced.
     """
     shared = spark.sparkContext.broadcast(model)
 
@@ -188,7 +192,7 @@ def predict(
 
         def make(part: pa.RecordBatch) -> list[pa.Array]:
             texts = texts_of(part, text)
-            names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+            langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             known = [i for i, t in enumerate(texts) if own and any(map(str.isalpha, t))]
             if known:
                 data = [texts[i].encode() for i in known]
@@ -202,10 +206,10 @@ def predict(
                 mean /= np.add.reduceat(weight, ends - counts)[:, None]
                 for i, row in zip(known, mean, strict=True):
                     k = int(row.argmax())
-                    names[i], scores[i] = own.langs[k], min(1.0, float(row[k]))
-            return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+                    langs[i], scores[i] = own.langs[k], min(1.0, float(row[k]))
+            return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
 
         return make
 
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     return add_columns(docs, text, fields, start, 2 << 20)

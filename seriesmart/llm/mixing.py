@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from seriesmart.llm.common import random_key, stored
 from seriesmart.llm.prefix import group_key, prefix_sum, ranges_for
 
+#: Columns that a mix adds.
+NAMES = ("source_size", "target", "repeats", "taken")
 # Fixed values of the mix.
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -55,16 +57,17 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS,
     most: int = MOST,
     seed: int = SEED,
+    names: tuple[str, str, str, str] = NAMES,
 ) -> DataFrame:
     """`df` with `source_size long`, `target double`, `repeats long` and `taken long` (repeats * size).
 
     Every row is kept, with `repeats` 0 if the mix leaves it out. Null sizes count as 0; rows of size 0
     are repeated like their neighbours in the order and take nothing. A null source is a source,
     the last. The order depends on `keys` and `seed` alone; rows that share a key are ordered by
-    size, and equal rows are interchangeable. An empty table gives an empty result. Columns with
-    the names of the four are replaced.
+    size, and equal rows are interchangeable. An empty table gives an empty result. `names` are those
+    of the four columns; columns of `df` that have them are replaced.
     """
-    base = df.drop("source_size", "target", "repeats", "taken")
+    base = df.drop(*names)
     rows = base.select(
         "*",
         F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("__size"),
@@ -74,7 +77,11 @@ def mix(
     rows = stored(spark, rows, "mix")
     sizes = rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"))
     targets = source_targets(sizes, weights, most).withColumnRenamed("source", "__name")
-    targets = targets.select(group_key(F.col("__name")).alias("__group"), "source_size", "target")
+    targets = targets.select(
+        group_key(F.col("__name")).alias("__group"),
+        F.col("source_size").alias("__all"),
+        F.col("target").alias("__target"),
+    )
     ranges = ranges_for(rows.count())
     part = F.shiftright("__key", KEY_BITS - (ranges.bit_length() - 1))
     ordered = prefix_sum(
@@ -85,23 +92,25 @@ def mix(
         part,
         [F.col("__key"), *[F.col(k) for k in keys], F.col("__size")],
     )
-    full = F.when(
-        F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
-    ).otherwise(F.lit(0))
-    rest = F.col("target") - full * F.col("source_size")
+    full = F.when(F.col("__all") > 0, F.floor(F.col("__target") / F.col("__all"))).otherwise(F.lit(0))
+    rest = F.col("__target") - full * F.col("__all")
     more = (full < most) & (2 * F.col("__before") + F.col("__size") <= 2 * rest)
     repeats = (full + F.when(more, 1).otherwise(0)).cast("long")
     return (
         ordered.join(targets, "__group")
-        .withColumn("repeats", repeats)
-        .withColumn("taken", F.col("repeats") * F.col("__size"))
-        .select(*base.columns, "source_size", "target", "repeats", "taken")
+        .withColumn("__repeats", repeats)
+        .select(
+            *base.columns,
+            F.col("__all").alias(names[0]),
+            F.col("__target").alias(names[1]),
+            F.col("__repeats").alias(names[2]),
+            (F.col("__repeats") * F.col("__size")).alias(names[3]),
+        )
     )
 
 
-def apply_mix(mixed: DataFrame) -> DataFrame:
+def apply_mix(mixed: DataFrame, names: tuple[str, str, str, str] = NAMES) -> DataFrame:
     """The documents of a mix, each as often as it is repeated, without the mix's own columns."""
-    copies = mixed.filter(F.col("repeats") > 0).withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))
-    )
-    return copies.drop("__copy", "source_size", "target", "repeats", "taken")
+    times = F.col(names[2])
+    copies = mixed.filter(times > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), times.cast("int"))))
+    return copies.drop("__copy", *names)
