@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from seriesmart.llm.common import map_arrow, stored
 from seriesmart.llm.components import components
+from seriesmart.llm.marks import mark_of, marks_of
 from seriesmart.llm.shingles import WORDS, shingle_set
 
 #: Two sets are linked if 100 * intersection >= PERCENT * union.
@@ -37,9 +38,6 @@ COUNTER_BITS = 22
 COUNTER_FRAGMENTS = 64
 #: Fragments of the hash order for verification: the top bits of a hash.
 FRAGMENT_BITS = 3
-#: Marks of the documents whose sets a verification needs, and the tasks that make them.
-MARK_BITS = 24
-MARK_TASKS = 8
 
 
 def _class_of(shingles: np.ndarray) -> int:
@@ -166,32 +164,13 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
 # --- Verification --------------------------------------------------------------------------------
 
 
-def _mark_of(ids: np.ndarray) -> np.ndarray:
-    return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
-
-
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    marks = np.zeros(1 << MARK_BITS, bool)
-    for batch in batches:
-        marks[_mark_of(batch.column(0).to_numpy())] = True
-    yield _batch(["marks"], pa.array([zlib.compress(np.packbits(marks).tobytes(), 1)], pa.binary()))
-
-
-def _marks(ids: DataFrame) -> np.ndarray:
-    """Which hashes of ids occur: a table of fixed size (2 MB) that spares texts a shuffle."""
-    found = np.zeros(1 << (MARK_BITS - 3), np.uint8)
-    for row in map_arrow(ids.repartition(MARK_TASKS), _mark, "marks binary").collect():
-        found |= np.frombuffer(zlib.decompress(row.marks), np.uint8)
-    return found
-
-
 def _fragments(width: int, marks):
     """Fragments of the sets of marked documents, and of others whose id has the same hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.unpackbits(marks.value).astype(bool)
         for batch in batches:
-            wanted = marked[_mark_of(batch.column("doc_id").to_numpy())]
+            wanted = marked[mark_of(batch.column("doc_id").to_numpy())]
             for k in np.flatnonzero(wanted):
                 found = shingle_set(batch.column("text")[int(k)].as_py(), width)
                 if not len(found):
@@ -215,7 +194,7 @@ def _verified(
     """The pairs of classes that are links."""
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     sizes = stored(spark, classes.join(ends, "cls"), "sizes")
-    marks = spark.sparkContext.broadcast(_marks(sizes.select("first")))
+    marks = spark.sparkContext.broadcast(marks_of(sizes.select("first")))
     made = map_arrow(rows, _fragments(width, marks), "cls long, fragment int, part array<long>")
     parts = stored(spark, made, "fragments")
     return stored(spark, _links(pairs, parts, sizes, percent), "links")
