@@ -38,6 +38,8 @@ COUNTER_BITS = 22
 COUNTER_FRAGMENTS = 64
 #: Fragments of the hash order for verification: the top bits of a hash.
 FRAGMENT_BITS = 3
+#: Up to so many pairs (16 MB) go to the sets; more are joined by shuffling both.
+BROADCAST_PAIRS = 1_000_000
 
 
 def _class_of(shingles: np.ndarray) -> int:
@@ -202,11 +204,12 @@ def _verified(
 
 def _links(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose overlap, summed over fragments, is enough."""
-    left = parts.select(F.col("cls").alias("a"), "fragment", F.col("part").alias("part_a"))
-    right = parts.select(F.col("cls").alias("b"), "fragment", F.col("part").alias("part_b"))
+    few = pairs.count() <= BROADCAST_PAIRS
+    sent = F.broadcast(pairs) if few else pairs
+    left = parts.withColumnRenamed("cls", "a").join(sent, "a").withColumnRenamed("part", "part_a")
+    right = parts.withColumnRenamed("cls", "b").join(sent, "b").withColumnRenamed("part", "part_b")
     shared = (
-        pairs.join(left, "a")
-        .join(right, ["b", "fragment"])
+        left.join(right, ["a", "b", "fragment"])
         .select("a", "b", "fragment", F.size(F.array_intersect("part_a", "part_b")).alias("shared"))
         # A repeated row has its fragments twice.
         .groupBy("a", "b", "fragment")
