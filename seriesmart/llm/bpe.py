@@ -28,11 +28,11 @@ from seriesmart.llm.pieces import UnitCache, id_lists
 
 LONG_WORD = 512
 #: Words of one recursive query have at most so many token rows over all rounds.
-ROUND_ROWS = 1_000_000
+ROUND_ROWS = 500_000
 #: Distinct units that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Tokens of one decoding query, unless a single document has more.
-DECODED_ROWS = 1_000_000
+DECODED_ROWS = 250_000
 
 # Positions count on over all words of a query. A round finds each word's least (rank, position) among
 # pairs of neighbours that merge, and contracts that pair; a word without one leaves, so that its
@@ -78,7 +78,7 @@ class Bpe:
             for i in range(1, len(k))
             if k[:i] in ranks and k[i:] in ranks
         ]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB", "temp_directory": ""})
         merges_rows = pa.table(
             {
                 "pair": pa.array([m[0] for m in merges], pa.int64()),
@@ -222,7 +222,7 @@ def encode(
         return lambda part: [id_lists(*bpe.cache.encode_texts(texts_of(part, text)))]
 
     field = T.StructField(ids, T.ArrayType(T.IntegerType(), False))
-    return add_columns(df, text, [field], start)
+    return add_columns(df, text, [field], start, 2 << 20)
 
 
 def decode(
@@ -245,8 +245,8 @@ def decode(
     def run(batches):
         bpe = _bpe(ranks_path, pattern)
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
+            for k in range(0, batch.num_rows, 200):
+                part = batch.slice(k, 200)
                 column = part.column(ids)
                 counts = np.array([0 if n is None else n for n in pc.list_value_length(column).to_pylist()], np.int64)
                 flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
