@@ -45,7 +45,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 OVERLAPPING = ("national_summary", "national_fulltime_parttime")
 ERA_YEARS = [1995, 1996, 1997]
 SLICE_FROM = 1998
-LAST_DAY = dt.date(2001, 12, 31)
 
 QUERIES: dict[str, Query] = {}
 
@@ -123,11 +122,13 @@ def ingest_append_coerce(spark: SparkSession, d: str) -> DataFrame:
         status.alias("OBS_STATUS"),
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("OBS_COMMENT"),
     )
-    parts = {"F": "national_summary", "O": "national_trend", "P": "state_summary"}
-    return O.append_extracts(
-        O.typed_extract(text.filter(F.col("OBS_STATUS") == s), name, RAW_LF)
-        for s, name in parts.items()
-    )
+    # One pass: the extract of a row follows from its status, and any other status has one too.
+    columns = [c for c in RAW_LF.fieldNames() if c != "source_extract"]
+    clean = O.null_tokens(O.project_columns(text, columns))
+    typed = O.coerce_numeric(clean, doubles=["obs_value"], integers=["unit_mult"])
+    first = F.when(F.col("obs_status") == "F", "national_summary")
+    lineage = first.when(F.col("obs_status") == "O", "national_trend").otherwise("state_summary")
+    return typed.withColumn("source_extract", lineage).select(*RAW_LF.fieldNames())
 
 
 @query
@@ -314,7 +315,8 @@ def kpi_by_region(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def calendar_join(spark: SparkSession, d: str) -> DataFrame:
-    joined = S.with_calendar(_national(spark, d), day_spine(spark, LAST_DAY))
+    last = B.table(spark, d, "orders").agg(F.max(F.col("o_orderdate").cast("date"))).first()[0]
+    joined = S.with_calendar(_national(spark, d), day_spine(spark, last or dt.date(1978, 1, 1)))
     return joined.select(
         "date", "unemployment_rate_pct", "year", "month_number", "month_year", "quarter",
         "financial_year", "financial_year_sort", "is_first_of_month",
@@ -450,7 +452,7 @@ def era_changes(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def contribution(spark: SparkSession, d: str) -> DataFrame:
-    periods = F.array("before_turn", "after_turn", "since_2000_naive")
+    periods = F.array("before_turn", "after_turn", "since_1995_naive")
     return _figures(spark, d).select(F.inline(periods))
 
 

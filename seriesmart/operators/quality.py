@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesmart.functions.keys import series_key
 from seriesmart.operators.reporting import select_facts
@@ -120,15 +121,40 @@ def overlapping_extracts(raw_lf: DataFrame) -> DataFrame:
 
 
 def contract_status(declared: list[str], actual: list[str] | None) -> tuple[str, list[str], list[str]]:
-    """Verdict on a column list with the columns missing from and added to it, by name."""
+    """Verdict on a column list with the columns missing from and added to it."""
     if actual is None:
-        return "missing view", sorted(declared), []
-    missing, added = sorted({*declared} - {*actual}), sorted({*actual} - {*declared})
+        return "missing view", list(declared), []
+    missing = [c for c in declared if c not in actual]
+    added = [c for c in actual if c not in declared]
     if missing or added:
         return "mismatch", missing, added
     return ("ok" if declared == actual else "order differs"), [], []
 
 
+def contract_fields(declared: T.StructType, actual: T.StructType) -> list[tuple[int, str, str, str]]:
+    """Fields that differ by position: (position, what differs, declared, actual)."""
+    differing = []
+    for k in range(max(len(declared), len(actual))):
+        want = declared[k] if k < len(declared) else None
+        have = actual[k] if k < len(actual) else None
+        words = [f"{f.name} {f.dataType.simpleString()}" if f else "" for f in (want, have)]
+        if want is None or have is None or want.name != have.name:
+            differing.append((k, "name", *words))
+        elif want.dataType != have.dataType:
+            differing.append((k, "type", *words))
+    return differing
+
+
+def check_fields(spark: SparkSession, declared: dict[str, T.StructType], actual: dict[str, T.StructType]) -> DataFrame:
+    """One row per field of a table that differs from its declaration in name, position or type."""
+    rows = [
+        (name, *field)
+        for name, fields in declared.items()
+        for field in contract_fields(fields, actual.get(name, T.StructType()))
+    ]
+    return spark.createDataFrame(rows, "name string, position int, differs string, declared string, actual string")
+
+
 def check_contract(
     spark: SparkSession, declared: dict[str, list[str]], actual: dict[str, list[str] | None]
 ) -> DataFrame:
@@ -174,6 +200,32 @@ def diff_rows(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return marked.filter(F.col("status").isNotNull()).select(*keys, "status", "changed")
 
 
+def diff_schemas(left: DataFrame, right: DataFrame) -> list[tuple[str, str | None]]:
+    """(status, column) of columns that one build lacks, that differ in type, or in order."""
+    mine, other = dict(left.dtypes), dict(right.dtypes)
+    found: list[tuple[str, str | None]] = [("column only left", c) for c in left.columns if c not in other]
+    found += [("column only right", c) for c in right.columns if c not in mine]
+    found += [("type differs", c) for c in left.columns if c in other and mine[c] != other[c]]
+    shared = [[c for c in d.columns if c in mine and c in other] for d in (left, right)]
+    return found + ([("order differs", None)] if shared[0] != shared[1] else [])
+
+
+def diff_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """("rows differ", null, difference) if the builds have different numbers of rows."""
+    one, two = left.agg(F.count("*").alias("n")), right.agg(F.count("*").alias("m"))
+    return one.join(two).filter("n <> m").select(
+        F.lit("rows differ").alias("status"), F.lit(None).cast("string").alias("column"), F.abs(F.expr("n - m")).alias("n_keys")
+    )
+
+
+def diff_builds(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """`diff_tables` with differences of columns (n_keys null) and of the numbers of rows."""
+    columns = left.sparkSession.createDataFrame(
+        [(s, c, None) for s, c in diff_schemas(left, right)], "status string, column string, n_keys long"
+    )
+    return diff_tables(left, right, keys).unionByName(columns).unionByName(diff_counts(left, right))
+
+
 def diff_tables(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """(status, column, n_keys): differing keys by status, and by column where values changed."""
     cause = F.explode_outer("changed").alias("column")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,12 +15,9 @@ from seriesmart.operators.reporting import latest_date
 
 # --- Fixed values: which columns are averaged and how columns are typed, by name -----------------
 
-AVERAGED = re.compile("rate|pct|ratio|share|ppt")
-TYPES_BY_NAME = {
-    "date": T.DateType(),
-    "(is|rank)_.*": T.LongType(),
-    ".*_(pct|ppt|thousands)": T.DoubleType(),
-}
+AVERAGED = ("rate", "pct", "ratio", "share", "ppt")
+NUMBER_SUFFIXES = ("_pct", "_ppt", "_thousands")
+FLAG_PREFIXES = ("is_", "rank_")
 
 
 def keep(df: DataFrame, column: str, values: list, exclude: bool = False) -> DataFrame:
@@ -78,7 +74,7 @@ def flagged_value(
 
 
 def is_averaged(column: str) -> bool:
-    return AVERAGED.search(column) is not None
+    return any(part in column for part in AVERAGED)
 
 
 def auto_agg(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -117,8 +113,10 @@ def trailing_years(df: DataFrame, years: int, date: str = "date") -> DataFrame:
     return df.filter(F.col(date) >= F.add_months(latest_date(df, date), -12 * years))
 
 
-def latest_row(df: DataFrame, date: str = "date") -> DataFrame:
-    return df.orderBy(F.col(date).desc()).limit(1)
+def latest_row(df: DataFrame, date: str = "date", entity: str | None = None) -> DataFrame:
+    """The row of the last date; of several entities the first by name or code."""
+    ties = [F.col(entity)] if entity else []
+    return df.orderBy(F.col(date).desc(), *ties).limit(1)
 
 
 def to_millions(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -127,9 +125,13 @@ def to_millions(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def type_of_name(column: str) -> T.DataType:
-    """The type of the first name pattern that fits the whole name, text if none does."""
-    fitting = (kind for name, kind in TYPES_BY_NAME.items() if re.fullmatch(name, column))
-    return next(fitting, T.StringType())
+    if column == "date":
+        return T.DateType()
+    if column.startswith(FLAG_PREFIXES):
+        return T.LongType()
+    if column.endswith(NUMBER_SUFFIXES):
+        return T.DoubleType()
+    return T.StringType()
 
 
 def type_by_name(df: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def figures(
         A.eras(A.era_boundaries(era_years)).alias("eras"),
         A.contribution(start, turn).alias("before_turn"),
         A.contribution(turn, end).alias("after_turn"),
-        A.contribution(start, end).alias("since_2000_naive"),
+        A.contribution(start, end).alias(f"since_{periods_from}_naive"),
         A.levels().alias("levels"),
         A.male_parttime().alias("male_parttime"),
         A.pace(pace_from).alias("pace"),

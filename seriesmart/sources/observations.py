@@ -37,6 +37,9 @@ def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = False) -
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        # Every part file must have this header in this order, every row as many fields.
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
     )
     return reader.csv(path)
 
@@ -182,8 +185,9 @@ def check_member_counts(df: DataFrame, expect: dict[str, int]) -> DataFrame:
 
 
 def slice_from_year(df: DataFrame, year: int, period: str = "time_period") -> DataFrame:
-    """Rows whose period starts in ``year`` or later; works on annual and monthly periods."""
-    return df.filter(F.substring(F.col(period), 1, 4).cast("int") >= year)
+    """Monthly rows whose period is in ``year`` or later; annual rows are kept whole."""
+    monthly = F.col(period).contains("-")
+    return df.filter(~monthly | (F.substring(F.col(period), 1, 4).cast("int") >= year))
 
 
 def ingest_report(df: DataFrame, extracts: Iterable[Extract] = EXTRACTS) -> DataFrame:

@@ -30,6 +30,8 @@ from seriesmart.sources.codelists import CodeLists, local_rows
 from seriesmart.sources.observations import append_extracts
 
 # Which codes of the order tables stand for which statistical codes.
+# The code of what a row refers to and no table has.
+UNKNOWN = "unknown"
 MALE_PRIORITIES = ["1-URGENT", "2-HIGH"]
 FOCUS_BRANDS = ["Brand#5", "Brand#7", "Brand#10", "Brand#17"]
 REGIONS = 5
@@ -139,14 +141,19 @@ def national_observations(orders: DataFrame, extracts: Iterable[str]) -> DataFra
 
 
 def state_observations(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Levels and rates by region of the customer."""
+    """Levels and rates by region of the customer.
+
+    Orders are counted per customer and month before the join, so a hot customer is one row a month.
+    Orders without a known customer or nation have a region of their own.
+    """
     home = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", (F.col("n_regionkey") + 1).cast("string").alias("region")
     )
+    counted = orders.groupBy("o_custkey", _month("o_orderdate").alias("month")).agg(*_status_counts())
     cells = (
-        orders.join(home, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy(_month("o_orderdate").alias("month"), "region")
-        .agg(*_status_counts())
+        counted.join(home, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .groupBy("month", F.coalesce("region", F.lit(UNKNOWN)).alias("region"))
+        .agg(*[F.sum(c).alias(c) for c in ("orders", "F", "O", "P")])
         .withColumn("sex", F.lit("3"))
     )
     entries = [
@@ -181,18 +188,22 @@ def account_observations(spark: SparkSession, directory: str) -> DataFrame:
     shipped = (
         table(spark, directory, "lineitem")
         .groupBy("l_partkey", F.year("l_shipdate").alias("year"))
-        .agg(F.sum("l_quantity").alias("obs_value"))
+        .agg(F.sum(F.col("l_quantity").cast("decimal(18,4)")).alias("obs_value"))
     )
     part = table(spark, directory, "part").select("p_partkey", "p_brand")
-    by_part = shipped.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        "p_brand", "p_partkey", "year", "obs_value"
+    # Items of an unknown part are a brand of their own, so that the levels add up.
+    by_part = shipped.join(part, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+        F.coalesce("p_brand", F.lit(UNKNOWN)).alias("p_brand"),
+        F.coalesce(F.col("l_partkey").cast("string"), F.lit(UNKNOWN)).alias("p_partkey"),
+        "year",
+        "obs_value",
     )
     by_brand = by_part.groupBy("p_brand", "year").agg(F.sum("obs_value").alias("obs_value"))
     total = by_brand.groupBy("year").agg(F.sum("obs_value").alias("obs_value"))
     code = "labouracct_ind"
     levels = [
         by_part.select(
-            F.concat("p_brand", F.lit("."), F.col("p_partkey").cast("string")).alias(code),
+            F.concat("p_brand", F.lit("."), "p_partkey").alias(code),
             "year",
             "obs_value",
         ),
@@ -210,6 +221,7 @@ def account_observations(spark: SparkSession, directory: str) -> DataFrame:
     }
     return (
         append_extracts(levels)
+        .withColumn("obs_value", F.col("obs_value").cast("double"))
         .withColumns({c: F.lit(v) for c, v in constants.items()})
         .withColumn("time_period", F.col("year").cast("string"))
         .withColumn("obs_status", F.lit(None).cast("string"))

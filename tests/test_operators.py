@@ -310,3 +310,22 @@ def test_widen_rejects_two_rows_for_one_cell(spark):
     df = spark.createDataFrame([(month(0), "Male", 1.0), (month(0), "Male", 2.0)], "date date, m string, v double")
     with pytest.raises(PySparkException, match="more than one row for Male"):
         widen(df, "date", "m", ["Male", "Female"], {"v": "v"}).collect()
+
+
+def test_builds_that_differ_in_columns_are_not_equal(spark):
+    left = spark.createDataFrame([(1, 2, "x")], "k int, a int, gone string")
+    right = spark.createDataFrame([(1, 2, 3), (2, 2, 3)], "k int, added int, a int")
+    found = {(r.status, r.column, r.n_keys) for r in Q.diff_builds(left, right, ["k"]).collect()}
+    assert found == {
+        ("changed", "a", 1), ("only right", None, 1), ("column only left", "gone", None), ("column only right", "added", None),
+        ("rows differ", None, 1),
+    }
+
+
+def test_contract_covers_types_and_positions(spark):
+    from pyspark.sql import types as T
+
+    declared = T._parse_datatype_string("date date, rate double, flag int")
+    actual = T._parse_datatype_string("date date, rate string, other int")
+    found = [tuple(r) for r in Q.check_fields(spark, {"v": declared}, {"v": actual}).collect()]
+    assert found == [("v", 1, "type", "rate double", "rate string"), ("v", 2, "name", "flag int", "other int")]

@@ -42,7 +42,7 @@ def test_figures_document(spark):
     document = json.loads(row.figures)
     assert list(document) == [
         "period", "headline", "turning_point", "eras", "before_turn", "after_turn",
-        "since_2000_naive", "levels", "male_parttime", "pace",
+        "since_1995_naive", "levels", "male_parttime", "pace",
     ]
     (headline,) = QUERIES["headline"](spark, SF_SMALL).collect()
     assert document["headline"]["gap_now"] == headline.gap_now

@@ -114,3 +114,29 @@ def test_code_lists_are_typed_and_local(spark):
         assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
     joined = spark.range(5).withColumn("sex_code", F.col("id").cast("string")).join(load_seed(spark, "seed_sex"), "sex_code", "left")
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def _folder(scratch: str, *parts: str) -> str:
+    for k, text in enumerate(parts):
+        with open(f"{scratch}/part-{k}.csv", "w") as out:
+            out.write(text)
+    return scratch
+
+
+@pytest.mark.parametrize(
+    "parts",
+    [
+        ("MEASURE,SEX\nM3,1\n", "SEX,MEASURE\n2,M3\n"),
+        ("MEASURE,SEX\nM3,1,9\n",),
+        ("MEASURE,SEX\nM3\n",),
+    ],
+    ids=["headers in another order", "row too long", "row too short"],
+)
+def test_csv_scan_is_strict(spark, scratch, parts):
+    with pytest.raises(Exception, match="CSV header|MALFORMED|Malformed|FAILED_READ_FILE"):
+        O.read_csv_strings(spark, _folder(scratch, *parts)).collect()
+
+
+def test_slice_keeps_annual_rows(spark):
+    df = spark.createDataFrame([("2010",), ("2014-12",), ("2015-01",)], "time_period string")
+    assert sorted(r[0] for r in O.slice_from_year(df, 2015).collect()) == ["2010", "2015-01"]
