@@ -64,7 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), a row for each document of the mix."""
     ranks = public_tokenizers.path(RANKS)
-    return bpe_digests(bpe.decode(bpe.encode(docs.select("doc_id", "text"), ranks).drop("text"), ranks))
+    return bpe_digests(bpe.encode_and_decode(docs.select("doc_id", "text"), ranks))
 
 
 STAGES = [

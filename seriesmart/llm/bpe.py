@@ -225,6 +225,32 @@ def encode(
     return add_columns(df, text, [field], start, 2 << 20)
 
 
+def encode_and_decode(
+    df: DataFrame,
+    ranks_path: str,
+    text: str = "text",
+    ids: str = "ids",
+    data: str = "decoded",
+    pattern: str = public_tokenizers.PATTERN,
+) -> DataFrame:
+    """`encode`, and `decode` of what it gave, by the same worker: half the processes of both in turn.
+
+    The decoded bytes come from the ids alone.
+    """
+
+    def start():
+        bpe = _bpe(ranks_path, pattern)
+
+        def make(part: pa.RecordBatch) -> list[pa.Array]:
+            flat, counts = bpe.cache.encode_texts(texts_of(part, text))
+            return [id_lists(flat, counts), pa.array(bpe.decode(flat, counts), pa.binary())]
+
+        return make
+
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False)), T.StructField(data, T.BinaryType())]
+    return add_columns(df, text, fields, start, 1 << 20)
+
+
 def decode(
     df: DataFrame,
     ranks_path: str,

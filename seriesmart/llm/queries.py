@@ -32,7 +32,7 @@ def query(fn: Query) -> Query:
 def op1_bpe(spark: SparkSession, d: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return bpe_digests(bpe.decode(bpe.encode(docs, ranks).drop("text"), ranks))
+    return bpe_digests(bpe.encode_and_decode(docs, ranks))
 
 
 def bpe_digests(coded: DataFrame) -> DataFrame:
