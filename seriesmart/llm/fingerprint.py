@@ -65,7 +65,8 @@ def with_fingerprint(df: DataFrame, text: Column, out: str) -> DataFrame:
         F.sequence(F.lit(0), F.lit(BINS - 1)),
         lambda b: F.lpad(F.lower(F.hex(value(b).bitwiseAND(low))), DIGITS, "0"),
     )
-    packed = F.when(F.size("__least") > 0, F.array_join(digits, "")).otherwise(F.lit(""))
+    # Named a second time, the bins are not computed anew for each digit.
+    packed = F.when(F.size("__bins") > 0, F.array_join(digits, "")).otherwise(F.lit(""))
     return least.select(*base, packed.alias(out))
 
 
