@@ -1,0 +1,231 @@
+"""The dealt operators on small tables with nulls, empty and long texts, ties, repeated rows and clashing names."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import sys
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
+
+import corpus_pipeline  # noqa: E402
+from seriesmart.llm import (  # noqa: E402
+    bpe,
+    fingerprint,
+    jaccard,
+    langid,
+    mixing,
+    packed_ids,
+    passages,
+    sharding,
+    topk,
+    toxicity,
+)
+from seriesmart.llm.pieces import units  # noqa: E402
+from seriesmart.llm.shingles import shingle_set  # noqa: E402
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ids string, score string, shard int"
+WORDS = " ".join(f"wort{k}x" for k in range(400))
+ROWS = [
+    (1, WORDS, "de", "a", 1, "x", "y", 7),
+    (2, WORDS.replace("wort5x", "other"), "de", "a", 1, "x", "y", 7),
+    (2, WORDS.replace("wort5x", "other"), "de", "a", 1, "x", "y", 7),
+    (3, None, None, None, None, None, None, None),
+    (4, "", "en", "b", 0, "x", "y", 7),
+    (5, "123 456 !!!", "en", "b", 0, "x", "y", 7),
+    (None, "No id here, but a text.", "en", None, 3, None, None, None),
+    (6, "é" * 3000 + " \n\t  x" + "ab" * 900, "fr", "b", 9, "x", "y", 7),
+    (7, "other start here " + " ".join(f"wort{k}x" for k in range(100, 170)) + " and an end", "de", "c", 9, "x", "y", 7),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def reference():
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_is_tiktoken(docs, none):
+    encoding = reference()
+    rows = bpe.decode(bpe.encode(docs, RANKS), RANKS).collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        assert r.ids == encoding.encode_ordinary(r.text or "")
+        assert bytes(r.decoded) == (r.text or "").encode()
+    both = bpe.encode_and_decode(docs, RANKS).select("doc_id", "ids", "decoded")
+    assert both.exceptAll(bpe.decode(bpe.encode(docs, RANKS), RANKS).select(*both.columns)).count() == 0
+    assert bpe.encode(none, RANKS).count() == 0
+
+
+def test_units_are_the_text():
+    for text in ("a b", " a  b\n c", "　x y ", "", "a  b"):
+        assert "".join(units(text)) == text
+
+
+def test_packing_round_trips():
+    rng = np.random.default_rng(1)
+    for bits in (1, 7, 16, 17, 31, 32):
+        ids = rng.integers(0, 1 << bits, 1001, dtype=np.uint64).astype(np.uint32)
+        data = packed_ids.pack(ids.astype(np.int64), bits)
+        assert (packed_ids.unpack(data, bits, 1001) == ids).all()
+        assert (packed_ids.unpack(data, bits, 300, 77) == ids[77:377]).all()
+
+
+def test_id_files_hold_documents_in_order(spark, docs, none):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    folder = packed_ids.id_folder(spark)
+    named = docs.filter("doc_id IS NOT NULL")
+    files = packed_ids.write_ids(spark, named, path, folder)
+    rows = sorted(packed_ids.read_ids(spark, files, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == sorted(r[0] for r in ROWS if r[0])
+    at = 0
+    for r in rows:
+        assert r.start == at and r.ids[-1] == 0 and r.n_tokens == len(r.ids)
+        at += r.n_tokens
+    empty = packed_ids.write_ids(spark, none, path, packed_ids.id_folder(spark))
+    assert empty.count() == 0
+
+
+def brute_components(rows):
+    sets = {r[0]: set(shingle_set(r[1]).tolist()) for r in rows if r[0] is not None}
+    label = {d: d for d in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if sets[a] and 100 * both >= 80 * len(sets[a] | sets[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+    return label, sets
+
+
+def test_jaccard_components(spark, docs, none):
+    label, sets = brute_components(ROWS)
+    rows = jaccard.link_components(spark, docs).collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        assert r.component_id == (label[r.doc_id] if r.doc_id is not None else None)
+        if r.doc_id is not None:
+            assert r.n_shingles == len(sets[r.doc_id])
+    assert jaccard.link_components(spark, none).count() == 0
+
+
+def test_passages(spark, docs, none):
+    found = passages.repeated_passages(spark, docs)
+    rows = {(r.doc_id, r.first_doc_id): r for r in found.collect()}
+    assert set(rows) == {(2, 1), (7, 1)} or set(rows) == {(2, 1), (7, 1), (7, 2)}
+    assert (rows[7, 1].word_start, rows[7, 1].word_end) == (3, 73)
+    kept = {r.doc_id: r.text for r in passages.without_passages(spark, docs, found).collect()}
+    assert kept[7] == "other start here and an end" and kept[1] == WORDS
+    assert kept[3] is None and kept[4] == "" and None in kept
+    assert passages.repeated_passages(spark, none).count() == 0
+
+
+def test_topk_against_brute_force(spark):
+    rng = np.random.default_rng(2)
+    v = {i: rng.normal(size=8).astype(np.float32) for i in range(300)}
+    v[7] = v[9]
+    rows = [(i, [float(x) for x in x8], "z") for i, x8 in v.items()]
+    rows += [(500, None, "z"), (600, [float("nan")] * 8, "z"), (700, [1.0, None], "z"), (None, [1.0] * 8, "z")]
+    df = spark.createDataFrame([*rows, rows[0]], "vec_id long, embedding array<float>, rank string")
+    found = [tuple(r) for r in topk.top_k(spark, df).orderBy("query_id", "rank").collect()]
+    q = {i: np.floor(1024 * x.astype(float)).astype(int) for i, x in v.items()}
+    expected = []
+    for i in (0, 100, 200):
+        best = sorted(((-int(q[i] @ q[j]), j) for j in q if j != i))[:10]
+        expected += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    assert found == expected
+    assert topk.top_k(spark, df.limit(0)).count() == 0
+
+
+def test_fingerprints(spark, docs, none):
+    rows = fingerprint.with_fingerprint(docs, F.col("text"), "fingerprint").collect()
+    by = {r.doc_id: r.fingerprint for r in rows}
+    assert by[3] == by[4] == "" and len(by[1]) == fingerprint.BINS * fingerprint.DIGITS
+    pairs = spark.createDataFrame([(by[1], by[2]), (by[1], by[1]), (by[3], by[1]), (by[3], by[4])], "a string, b string")
+    near = [r[0] for r in pairs.select(fingerprint.likeness(F.col("a"), F.col("b"))).collect()]
+    assert 0.85 < near[0] <= 1 and near[1:] == [1.0, 0.0, 1.0]
+    placed = fingerprint.with_next(spark, docs.select("doc_id", "text"), "doc_id", ["text"])
+    following = {r.doc_id: r.next_text for r in placed.collect()}
+    texts = {r[0]: r[1] for r in ROWS}
+    assert following[7] == texts[6] and following[1] == texts[None] and following[None] == texts[7]
+    assert fingerprint.with_next(spark, none.select("doc_id", "text"), "doc_id", ["text"]).count() == 0
+
+
+def test_mix_meets_targets(spark, none):
+    rows = [(k, "abc"[k % 3] if k % 7 else None, 1 + k % 11, k) for k in range(900)] + [(1000, "abc", None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, target long")
+    found = mixing.mix(spark, df).collect()
+    assert len(found) == len(rows)
+    for source in {r.source for r in found}:
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 11
+        assert all(r.repeats <= 3 for r in own) and own[0].target <= 3 * own[0].source_size
+    total = sum({r.source: r.target for r in found}.values())
+    assert total == pytest.approx(sum(r[2] or 0 for r in rows))
+    assert sorted(map(repr, found)) == sorted(map(repr, mixing.mix(spark, df).collect()))
+    assert mixing.mix(spark, none.withColumn("size", F.lit(1))).count() == 0
+
+
+def test_shards_match_the_mixture(spark, docs, none):
+    rows = [(k, "a" if k % 3 else None, 5) for k in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, slot int")
+    found = sharding.interleave(spark, df, 7).collect()
+    for s in range(7):
+        own = [r for r in found if r.shard == s]
+        assert len(own) in (142, 143) and sorted(r.slot for r in own) == list(range(len(own)))
+        assert abs(sum(r.source is None for r in own) - len(own) / 3) <= 2
+    assert sharding.interleave(spark, docs).count() == len(ROWS)
+    assert sharding.interleave(spark, none).count() == 0
+
+
+def test_languages(spark, docs, none):
+    rows = [(k, f"the and of thing {k} with that " * 5 if k % 2 else f"der die das und {k} nicht ein " * 5,
+             "en" if k % 2 else "de") for k in range(60)]
+    model = langid.train(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    own = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = langid.predict(spark, own, model).collect()
+    assert all(r.lang_pred == ("en" if r.doc_id % 2 else "de") and 0.5 < r.score <= 1 for r in found)
+    other = {r.doc_id: r.lang_pred for r in langid.predict(spark, docs, model).collect()}
+    assert other[3] == other[4] == other[5] == "und" and other[6] != "und"
+    assert langid.train(spark, none) is None and langid.predict(spark, docs, None).count() == len(ROWS)
+
+
+def test_toxicity(spark, docs, none):
+    rows = [(k, f"you are an idiot and word{k}" if k % 4 == 0 else f"a plain text of word{k} here") for k in range(120)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(100)] + [(None, 1)], "doc_id long, toxic int")
+    model = toxicity.train(spark, texts, labels)
+    assert all(r.predicted == (r.doc_id % 4 == 0) for r in toxicity.score(spark, texts, model).collect())
+    assert toxicity.score(spark, docs, model).count() == len(ROWS)
+    assert toxicity.train(spark, none, labels) is None
+    matcher = toxicity.Matcher([("idiot", False), ("worthless", False)])
+    assert matcher.match("idoit") is None and matcher.match("idot") == (1, 0) and matcher.match("wortless") == (1, 1)
+
+
+def test_pipeline_takes_odd_rows(spark, docs):
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES:
+        before = kept.columns
+        kept = spark.createDataFrame(stage(spark, kept, "").collect(), stage(spark, kept, "").schema)
+        if name != "bpe":
+            assert kept.columns == before
+    assert kept.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert hashlib.sha256(b"").hexdigest() not in {r.decoded_sha256 for r in kept.collect()}
