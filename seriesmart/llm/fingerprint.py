@@ -1,8 +1,10 @@
 """Document fingerprints: one-permutation MinHash in built-in functions.
 
 Each 5-word shingle is hashed once. The top bits of a hash choose its bin, a bin keeps its least hash,
-and an empty bin takes the value of a filled one: the first filled bin in a random order of all bins
-that belongs to the empty one, which is optimal densification. The low `BITS` bits of every bin are
+and an empty bin takes the value of a filled one by optimal densification: each empty bin draws bins at
+random, the same ones for every text, until it meets a filled one. After `DRAWS` rounds over all bins, those
+still empty take the filled bin that comes first in a random order of their own, which is the same law
+without endless draws for texts of few shingles. The low `BITS` bits of every bin are
 packed into a hexadecimal string. Two unrelated values agree in 2^-BITS of cases, for which the
 likeness of two fingerprints is corrected.
 """
@@ -19,6 +21,8 @@ BIN_BITS = 7
 BINS = 1 << BIN_BITS
 BITS = 8
 DIGITS = BITS // 4
+#: Rounds of draws for empty bins; any number gives fingerprints of the same quality.
+DRAWS = 6
 
 
 def _bin(value: Column) -> Column:
@@ -39,8 +43,8 @@ def with_fingerprint(df: DataFrame, text: Column, out: str) -> DataFrame:
     shingles = F.when(
         n >= WORDS,
         F.transform(
-            F.sequence(F.lit(1), n - (WORDS - 1)),
-            lambda i: F.xxhash64(F.slice("__words", i, WORDS)),
+            F.slice("__words", 1, n - (WORDS - 1)),
+            lambda w, i: F.xxhash64(w, *[F.get(F.col("__words"), i + k) for k in range(1, WORDS)]),
         ),
     ).otherwise(whole)
     ordered = hashed.withColumn("__hashes", F.sort_array(shingles))
@@ -51,23 +55,43 @@ def with_fingerprint(df: DataFrame, text: Column, out: str) -> DataFrame:
             lambda h, i: (i == 0) | (_bin(h) != _bin(F.get(F.col("__hashes"), i - 1))),
         ),
     ).withColumn("__bins", F.transform("__least", lambda h: _bin(h).cast("int")))
-
-    def value(b: Column) -> Column:
-        at = F.nullif(F.array_position("__bins", b), F.lit(0).cast("long"))
-        own = F.get(F.col("__least"), (at - 1).cast("int"))
-        drawn = F.transform(
-            "__least", lambda h: F.struct(F.xxhash64(b, _bin(h)).alias("turn"), h.alias("value"))
+    low = F.lit((1 << BITS) - 1).cast("long")
+    every = F.sequence(F.lit(0), F.lit(BINS - 1))
+    own = least.withColumn(
+        "__own",
+        F.transform(
+            every,
+            lambda b: F.get(
+                F.col("__least"), (F.nullif(F.array_position("__bins", b), F.lit(0).cast("long")) - 1).cast("int")
+            ).bitwiseAND(low),
+        ),
+    )
+    # A bin and its value as one number, which takes part in the order of an empty bin by its turn.
+    tagged = own.withColumn(
+        "__tagged", F.transform("__least", lambda h: _bin(h) * (1 << BITS) + h.bitwiseAND(low))
+    )
+    def drawn(k: int):
+        at = lambda b: F.xxhash64(F.lit(k), b).bitwiseAND(F.lit(BINS - 1).cast("long")).cast("int")
+        return lambda v, b: F.coalesce(v, F.get(F.col("__own"), at(b)))
+
+    filled: Column = F.col("__own")
+    for k in range(DRAWS):
+        filled = F.transform(filled, drawn(k))
+
+    def first(b: Column) -> Column:
+        """Of all filled bins the one whose turn for bin `b` is least."""
+        turns = F.transform(
+            "__tagged",
+            lambda t: F.xxhash64(b, F.shiftright(t, BITS)).bitwiseAND(F.lit(~((1 << BITS) - 1)).cast("long"))
+            + t.bitwiseAND(low),
         )
-        return F.coalesce(own, F.array_min(drawn)["value"])
+        return F.array_min(turns).bitwiseAND(low)
 
-    low = F.lit((1 << BITS) - 1).cast("long")
     digits = F.transform(
-        F.sequence(F.lit(0), F.lit(BINS - 1)),
-        lambda b: F.lpad(F.lower(F.hex(value(b).bitwiseAND(low))), DIGITS, "0"),
+        filled, lambda v, b: F.lpad(F.lower(F.hex(F.coalesce(v, first(b)))), DIGITS, "0")
     )
-    # Named a second time, the bins are not computed anew for each digit.
     packed = F.when(F.size("__bins") > 0, F.array_join(digits, "")).otherwise(F.lit(""))
-    return least.select(*base, packed.alias(out))
+    return tagged.select(*base, packed.alias(out))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -75,12 +99,21 @@ def likeness(a: Column, b: Column) -> Column:
 
     Two empty fingerprints are alike (1), an empty and another are not (0).
     """
-    same = F.size(
-        F.filter(
-            F.sequence(F.lit(0), F.lit(BINS - 1)),
-            lambda i: F.substring(a, i * DIGITS + 1, F.lit(DIGITS))
-            == F.substring(b, i * DIGITS + 1, F.lit(DIGITS)),
-        )
+    width = F.lit(DIGITS // 2)
+    bins = F.sequence(F.lit(0), F.lit(BINS - 1))
+    # Named once as bytes, where a bin is found at once; in a string its place would be counted anew.
+    pair = F.array(F.struct(F.unhex(a).alias("a"), F.unhex(b).alias("b")))
+    same = F.get(
+        F.transform(
+            pair,
+            lambda p: F.size(
+                F.filter(
+                    bins,
+                    lambda i: F.substring(p["a"], i * width + 1, width) == F.substring(p["b"], i * width + 1, width),
+                )
+            ),
+        ),
+        F.lit(0),
     )
     chance = 2.0**-BITS
     corrected = F.greatest(F.lit(0.0), (same / BINS - chance) / (1 - chance))
