@@ -24,7 +24,8 @@ def main() -> None:
     result = build(spark, cfg)
     for name, rows in result.checks.items():
         failures = sum(r.failures for r in rows)
-        print(f"{name:32} {len(rows):>3} checks {failures:>6} failures")
+        warnings = sum(r.failures for r in rows if r.severity != "error")
+        print(f"{name:32} {len(rows):>3} checks {failures:>6} failures, {warnings} of them warnings")
     if args.figures:
         write_figures(figures_json(figures(result.marts.ftpt)), args.figures)
 

@@ -519,6 +519,13 @@ def dq_coverage(spark: SparkSession, d: str) -> DataFrame:
     return Q.failing_coverage(_state(spark, d), "date", "region_code", B.REGIONS)
 
 
+@query
+def dq_coverage_observed(spark: SparkSession, d: str) -> DataFrame:
+    """Months in which a region has no observation at all, before marts drop incomplete rows."""
+    observed = typed_observations(B.lf_observations(spark, d, [B.STATE_EXTRACT]))
+    return Q.failing_coverage(observed, "period_date", "region_code", B.REGIONS)
+
+
 @query
 def dq_coverage_days(spark: SparkSession, d: str) -> DataFrame:
     """Days on which not every order priority occurs."""
@@ -554,11 +561,19 @@ def dq_report(spark: SparkSession, d: str) -> DataFrame:
 @query
 def diff_tables(spark: SparkSession, d: str) -> DataFrame:
     """Two builds of the order lines: all of them, and the finished ones with a new quantity."""
-    lines = dedupe(
-        B.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_linestatus"),
-        ["l_orderkey", "l_linenumber"],
-        ["l_quantity"],
-    )
-    quantity = F.when(F.col("l_quantity") < 10, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
-    other = lines.filter(F.col("l_linestatus") == "F").withColumn("l_quantity", quantity)
+    lines = dedupe(B.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_quantity"])
+    other = _other_build(lines)
     return Q.diff_tables(lines, other, ["l_orderkey", "l_linenumber"])
+
+
+@query
+def diff_builds(spark: SparkSession, d: str) -> DataFrame:
+    """Two builds with repeated keys, of which the second has fewer rows, no tax and a new column."""
+    lines = B.table(spark, d, "lineitem")
+    other = _other_build(lines).drop("l_tax").withColumn("l_net", F.lit(0.0))
+    return Q.diff_builds(lines, other, ["l_orderkey", "l_linenumber"])
+
+
+def _other_build(lines: DataFrame) -> DataFrame:
+    quantity = F.when(F.col("l_quantity") < 10, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    return lines.filter(F.col("l_linestatus") == "F").withColumn("l_quantity", quantity)

@@ -6,6 +6,7 @@ its failing rows come back as one row with a count.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -17,6 +18,8 @@ from seriesmart.functions.keys import series_key
 from seriesmart.operators.reporting import select_facts
 from seriesmart.schemas import LABOUR_FORCE, LF_DIMENSIONS
 
+log = logging.getLogger(__name__)
+
 
 def failing_not_null(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
@@ -250,6 +253,8 @@ class Checks:
     grain: list[str] = field(default_factory=list)
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
     severity: str = "error"
+    #: Checks, as (check, column), whose failures are reported but stop nothing.
+    warn: list[tuple[str, str]] = field(default_factory=list)
 
     def __len__(self) -> int:
         declared = [self.not_null, self.unique, self.accepted, self.references]
@@ -288,7 +293,11 @@ def run_checks(df: DataFrame, checks: Checks, parents: dict[str, DataFrame] | No
     for c, (parent, parent_column) in checks.references.items():
         failing = failing_fk(df, c, (parents or {})[parent], parent_column)
         results.append(_count(failing, "relationships", c))
-    return reduce(DataFrame.unionByName, results).withColumn("severity", F.lit(checks.severity))
+    severity = F.lit(checks.severity)
+    for check, c in checks.warn:
+        lenient = (F.col("check") == check) & (F.col("column") == c)
+        severity = F.when(lenient, "warn").otherwise(severity)
+    return reduce(DataFrame.unionByName, results).withColumn("severity", severity)
 
 
 class CheckFailure(RuntimeError):
@@ -296,9 +305,13 @@ class CheckFailure(RuntimeError):
 
 
 def enforce(name: str, results: DataFrame) -> list:
-    """Run the checks of a table; raise if one of severity error has failures."""
+    """Run the checks of a table; raise if one of severity error has failures, log the others."""
     rows = results.collect()
-    broken = [r for r in rows if r.failures and r.severity == "error"]
+    failed = [r for r in rows if r.failures]
+    broken = [r for r in failed if r.severity == "error"]
+    for r in failed:
+        if r.severity != "error":
+            log.warning("%s: %s on %s: %d", name, r.check, r.column, r.failures)
     if broken:
         found = "; ".join(f"{r.check} on {r.column}: {r.failures}" for r in broken)
         raise CheckFailure(f"{name}: {found}")

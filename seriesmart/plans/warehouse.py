@@ -20,7 +20,7 @@ from seriesmart.schemas import (
     MART_CONTRACT,
     Extract,
 )
-from seriesmart.sinks import ensure_schemas, export_marts, overwrite_table
+from seriesmart.sinks import ensure_schemas, export_marts, overwrite_table, require_shared_warehouse
 from seriesmart.sources.codelists import SEED_ROWS, CodeLists, load_seed
 from seriesmart.sources.observations import (
     ingest_report,
@@ -96,12 +96,14 @@ def _singular(build: Build, name: str, failing: DataFrame) -> None:
     build.checks[name] = Q.enforce(name, rows)
 
 
-def build(spark: SparkSession, cfg: Config) -> Build:
+def build(spark: SparkSession, cfg: Config, codes: CodeLists | None = None) -> Build:
     """Everything from files to marts. A failed check stops the build before its dependants.
 
-    Each layer reads columns of the one before from disk.
+    ``codes`` replaces the standard code lists that series are decoded with; the declared checks of the
+    series dimension hold for its names as well. Each layer reads columns of the one before from disk.
     """
     result = Build()
+    require_shared_warehouse(spark)
     ensure_schemas(spark)
     seeds = {
         name: overwrite_table(load_seed(spark, name), f"seed.{name}") for name in SEED_ROWS
@@ -122,8 +124,8 @@ def build(spark: SparkSession, cfg: Config) -> Build:
     observed = staged if cfg.write_all else typed
     result.dates = overwrite_table(dim_date(observed), "core.dim_date")
     _pass(result, "dim_date", result.dates)
-    codes = CodeLists.standard(spark)
-    result.series = overwrite_table(dim_series(observed, codes), "core.dim_series")
+    decoded = dim_series(observed, codes or CodeLists.standard(spark))
+    result.series = overwrite_table(decoded, "core.dim_series")
     _pass(result, "dim_series", result.series)
     _singular(
         result,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,13 @@ EXPORTS = {
 SCHEMAS = ["raw", "staging", "core", "mart", "seed"]
 
 
+def require_shared_warehouse(spark: SparkSession) -> None:
+    """Tables of a cluster must not lie in a folder of the driver's machine."""
+    where = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and where.startswith("file:"):
+        raise ValueError(f"set spark.sql.warehouse.dir to shared storage, not {where}")
+
+
 def ensure_schemas(spark: SparkSession, names: list[str] = SCHEMAS) -> None:
     for name in names:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
@@ -45,6 +54,9 @@ def overwrite_table(
 ) -> DataFrame:
     """Full refresh of a table; returns the table as written.
 
+    The rows are written to a new table that takes the name once it is complete, so a write that fails
+    leaves the old table as it was.
+
     ``cluster_by`` ranges the rows over the files by these columns, so that a filter on their
     prefix skips files and row groups.
     """
@@ -52,8 +64,11 @@ def overwrite_table(
         df = reject_nulls(df, list(required))
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    spark, fresh = df.sparkSession, f"{name}__{uuid.uuid4().hex[:12]}"
+    df.write.format("parquet").saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    return spark.table(name)
 
 
 def write_csv(df: DataFrame, path: str, mark: bool = True) -> None:

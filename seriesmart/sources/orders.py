@@ -182,8 +182,8 @@ def lf_observations(
 def account_observations(spark: SparkSession, directory: str) -> DataFrame:
     """The annual raw table: quantity shipped per part, per brand and in total.
 
-    Line items are summed per part and year before the join with parts. The three levels read
-    that same small result, so Spark shuffles it once and reuses the exchange.
+    Line items are summed per part and year before the join with parts. Each of those rows then
+    counts for its part, its brand and the total in one aggregation, so parts are read once.
     """
     shipped = (
         table(spark, directory, "lineitem")
@@ -192,24 +192,15 @@ def account_observations(spark: SparkSession, directory: str) -> DataFrame:
     )
     part = table(spark, directory, "part").select("p_partkey", "p_brand")
     # Items of an unknown part are a brand of their own, so that the levels add up.
-    by_part = shipped.join(part, F.col("l_partkey") == F.col("p_partkey"), "left").select(
-        F.coalesce("p_brand", F.lit(UNKNOWN)).alias("p_brand"),
-        F.coalesce(F.col("l_partkey").cast("string"), F.lit(UNKNOWN)).alias("p_partkey"),
-        "year",
-        "obs_value",
+    brand = F.coalesce("p_brand", F.lit(UNKNOWN))
+    number = F.coalesce(F.col("l_partkey").cast("string"), F.lit(UNKNOWN))
+    codes = F.array(F.concat(brand, F.lit("."), number), brand, F.lit("TOTAL"))
+    by_code = (
+        shipped.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .select(F.explode(codes).alias("labouracct_ind"), "year", "obs_value")
+        .groupBy("labouracct_ind", "year")
+        .agg(F.sum("obs_value").alias("obs_value"))
     )
-    by_brand = by_part.groupBy("p_brand", "year").agg(F.sum("obs_value").alias("obs_value"))
-    total = by_brand.groupBy("year").agg(F.sum("obs_value").alias("obs_value"))
-    code = "labouracct_ind"
-    levels = [
-        by_part.select(
-            F.concat("p_brand", F.lit("."), "p_partkey").alias(code),
-            "year",
-            "obs_value",
-        ),
-        by_brand.select(F.col("p_brand").alias(code), "year", "obs_value"),
-        total.select(F.lit("TOTAL").alias(code), "year", "obs_value"),
-    ]
     constants = {
         "source_extract": "industry_employment",
         "dataflow": LABOUR_ACCOUNT,
@@ -220,8 +211,7 @@ def account_observations(spark: SparkSession, directory: str) -> DataFrame:
         "unit_mult": 3,
     }
     return (
-        append_extracts(levels)
-        .withColumn("obs_value", F.col("obs_value").cast("double"))
+        by_code.withColumn("obs_value", F.col("obs_value").cast("double"))
         .withColumns({c: F.lit(v) for c, v in constants.items()})
         .withColumn("time_period", F.col("year").cast("string"))
         .withColumn("obs_status", F.lit(None).cast("string"))

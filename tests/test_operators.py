@@ -322,6 +322,17 @@ def test_builds_that_differ_in_columns_are_not_equal(spark):
     }
 
 
+def test_one_check_may_warn_while_others_stop(spark, caplog):
+    df = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    lenient = Q.Checks(not_null=["k", "v"], warn=[("not_null", "k")])
+    found = {r.column: (r.failures, r.severity) for r in Q.run_checks(df, lenient).collect()}
+    assert found == {"k": (1, "warn"), "v": (0, "error")}
+    Q.enforce("t", Q.run_checks(df, lenient))
+    assert "not_null on k: 1" in caplog.text
+    with pytest.raises(Q.CheckFailure, match="not_null on k: 1"):
+        Q.enforce("t", Q.run_checks(df, Q.Checks(not_null=["k"])))
+
+
 def test_contract_covers_types_and_positions(spark):
     from pyspark.sql import types as T
 

@@ -212,3 +212,24 @@ def test_null_code_fails_the_load(spark, scratch):
         contents["national_trend"][1][0][2] = ""
 
     broken(spark, scratch, change, "null in required column sex", PySparkException)
+
+
+def test_a_failing_overwrite_leaves_the_old_table(spark):
+    sinks.ensure_schemas(spark, ["raw"])
+    good = spark.createDataFrame([("a",)], "k string")
+    sinks.overwrite_table(good, "raw.refreshed", ["k"])
+    bad = spark.createDataFrame([("b",), (None,)], "k string")
+    with pytest.raises(PySparkException, match="null in required column k"):
+        sinks.overwrite_table(bad, "raw.refreshed", ["k"])
+    assert [r.k for r in spark.table("raw.refreshed").collect()] == ["a"]
+    sinks.overwrite_table(spark.createDataFrame([("c",)], "k string"), "raw.refreshed", ["k"])
+    assert [r.k for r in spark.table("raw.refreshed").collect()] == ["c"]
+
+
+def test_a_build_takes_other_code_lists(spark, scratch):
+    from seriesmart.sources.codelists import CodeLists, load_seed
+
+    measures = load_seed(spark, "seed_measure").withColumn("measure_name", F.upper("measure_name"))
+    result = build(spark, Config(files.write(scratch)), CodeLists.standard(spark, measure=measures))
+    found = {r[0] for r in result.series.select("measure_name").distinct().collect()}
+    assert "EMPLOYED TOTAL" in found and "Employed total" not in found
