@@ -138,6 +138,23 @@ def test_passages(spark, docs, none):
     assert passages.repeated_passages(spark, none).count() == 0
 
 
+def passage_words(name, n):
+    return [f"{name}{k}" for k in range(n)]
+
+
+def test_passages_elsewhere_in_the_other_text():
+    """Joined passages and swapped paragraphs: what is far from the line of one passage is another."""
+    p, q, r = (passage_words(name, 60) for name in "pqr")
+    apart = [*p, *passage_words("x", 840), *q]
+    swapped = [*p, *passage_words("x", 300), *q, *passage_words("y", 300), *r]
+    for first, second in ((apart, [*p, *q]), (apart, [*q, *p]), (swapped, [*r, *q, *p]), (swapped, [*q, *r, *p])):
+        b, a = (passages._tokens(" ".join(t)) for t in (first, second))
+        sent = passages.received(passages.sent(b))
+        rows = passages.common_passages(a, np.arange(len(b)), sent, [(0, len(a) - 1)], 46, 80)
+        gone = {k for s, e, *_ in rows for k in range(s, e + 4)}
+        assert gone == set(range(len(second)))
+
+
 def test_topk_against_brute_force(spark):
     rng = np.random.default_rng(2)
     v = {i: rng.normal(size=8).astype(np.float32) for i in range(300)}
