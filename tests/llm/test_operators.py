@@ -155,6 +155,44 @@ def test_passages_elsewhere_in_the_other_text():
         assert gone == set(range(len(second)))
 
 
+def frequent_lines():
+    """Two lines of words with the least tokens of all three hashes; windows around a line have its values."""
+    rng, least = np.random.default_rng(5), ([], [])
+    words = rng.integers(0, 10**9, (100_000, 5))
+    tokens = np.array([passages._tokens(" ".join(f"f{w}" for w in row))[0] for row in words.tolist()], np.uint64)
+    for seed in passages.SEEDS:
+        for line, k in zip(least, np.argsort(passages.mix(tokens ^ seed)), strict=False):
+            line += [f"f{w}" for w in words[k]]
+    return least
+
+
+def around(name, line):
+    """A passage whose only windows are those of the line."""
+    return [*passage_words(name, 30), *line, *passage_words(f"{name}end", 30)]
+
+
+def words_left(spark, texts):
+    """Words of each document, from 1 on, outside passages found in it."""
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {k: set(range(len(t))) for k, t in enumerate(texts, 1)}
+    for r in passages.repeated_passages(spark, df).collect():
+        left[r.doc_id] -= set(range(r.word_start, r.word_end))
+    return left
+
+
+def test_passages_of_repeated_phrases(spark):
+    """A phrase that a document has twice hides none of its passages, exact or near."""
+    less, line = frequent_lines()
+    p = around("p", line)
+    edited = [*p[:10], "edited", *p[11:]]
+    texts = [[*around(a, line), *around(b, less), *p] for a, b in ("ux", "vy")]
+    texts[1:1] = [p, edited]
+    left = words_left(spark, texts)
+    assert not left[2] and not left[3]
+    assert left[4] == set(range(len(texts[3]) - len(p)))
+
+
 def test_topk_against_brute_force(spark):
     rng = np.random.default_rng(2)
     v = {i: rng.normal(size=8).astype(np.float32) for i in range(300)}
