@@ -193,6 +193,35 @@ def test_passages_of_repeated_phrases(spark):
     assert left[4] == set(range(len(texts[3]) - len(p)))
 
 
+def brute_left(texts, words=50):
+    """Words of each document outside runs of `words` words that an earlier document has."""
+    seen, left = set(), {}
+    for k, t in enumerate(texts, 1):
+        runs = [tuple(t[i : i + words]) for i in range(len(t) - words + 1)]
+        gone = {w for i, run in enumerate(runs) if run in seen for w in range(i, i + words)}
+        left[k] = set(range(len(t))) - gone
+        seen.update(runs)
+    return left
+
+
+def test_passages_against_brute_force(spark):
+    """Mixed buckets, repeated phrases, parts of passages and swapped paragraphs: no exact run is missed."""
+    less, line = frequent_lines()
+    p, q, r = (around(name, line) for name in "pqr")
+    texts = [[f"own{k}", *t] for k, t in enumerate((p, q, r, q, r, q))]
+    texts += [[*p[:52], "a"], ["b", *q[-51:], "c"], [*r[3:60], "d", *q[:55]], [*r, *less, *q, *p]]
+    texts += [[*passage_words("x", 60), *less, *p[10:70], *passage_words("y", 60)], [*passage_words("y", 60), *q[5:56], *passage_words("x", 60)]]
+    rng = np.random.default_rng(3)
+    pool = [*p, *less, *q, *passage_words("x", 60), *r]
+    for k in range(25):
+        cuts = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 230, 4), rng.integers(20, 90, 4), strict=True)]
+        texts.append([w for i, (a, b) in enumerate(cuts) for w in (f"cut{k}n{i}", *pool[a:b])])
+    found, exact = words_left(spark, texts), brute_left(texts)
+    assert [len(found[k]) for k in range(1, 7)] == [76, 76, 76, 1, 1, 1]
+    # Near passages may take more words.
+    assert all(found[k] <= exact[k] for k in exact)
+
+
 def test_topk_against_brute_force(spark):
     rng = np.random.default_rng(2)
     v = {i: rng.normal(size=8).astype(np.float32) for i in range(300)}
