@@ -64,18 +64,17 @@ class Matcher:
 
     def __init__(self, entries: list[tuple[str, bool]]):
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[tuple[int, int, bool] | None] = [None]
+        self.ends: list[list[tuple[int, int, bool]]] = [[]]
         for k, (term, stem) in enumerate(entries):
             node = 0
             for letter in term:
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
                     self.children.append({})
-                    self.ends.append(None)
+                    self.ends.append([])
                 node = self.children[node][letter]
-            if self.ends[node] is None or stem:
-                # A stem is matched as it is: what follows is free already.
-                self.ends[node] = (k, 0 if stem else edits_allowed(term), stem)
+            # A stem is matched as it is: what follows is free already. A word may end at the same node.
+            self.ends[node].append((k, 0 if stem else edits_allowed(term), stem))
         self.most = max([edits_allowed(t) for t, stem in entries if not stem], default=0)
         self._empty()
 
@@ -103,7 +102,7 @@ class Matcher:
             self.numbers[key] = len(self.states)
             self.states.append(key)
             self.moves.append({})
-            ends = [(e, *self.ends[n]) for n, e in key if self.ends[n] is not None]
+            ends = [(e, *end) for n, e in key for end in self.ends[n]]
             full = [(e, k) for e, k, allowed, _ in ends if e <= allowed]
             self.full.append(min(full, default=None))
             self.stem.append(min([(e, k) for e, k, _, stem in ends if stem and not e], default=None))

@@ -304,6 +304,13 @@ def test_toxicity(spark, docs, none):
     assert matcher.match("idoit") is None and matcher.match("idot") == (1, 0) and matcher.match("wortless") == (1, 1)
 
 
+def test_a_stem_leaves_its_word_its_edits():
+    for entries in ([("idiot", False), ("idiot", True)], [("idiot", True), ("idiot", False)]):
+        matcher = toxicity.Matcher(entries)
+        assert matcher.match("idot")[0] == matcher.match("idjot")[0] == 1
+        assert matcher.match("idiot")[0] == matcher.match("idiots")[0] == 0 and matcher.match("idots") is None
+
+
 def test_pipeline_takes_odd_rows(spark, docs):
     kept = docs
     for name, stage in corpus_pipeline.STAGES:
