@@ -75,7 +75,7 @@ STAGES = [
     ("bpe", tokens),
 ]
 
-#: SQL can train no network and build no Cartesian trees; `tests/llm` checks the stages instead.
+#: SQL can train no network and build no Cartesian trees; `tests/llm` checks the operators, not the stages together.
 ORACLE_SQL = None
 
 
