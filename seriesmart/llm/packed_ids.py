@@ -2,10 +2,10 @@
 
 A file holds documents in ascending order of their id, in blocks:
 
-    magic  8 bytes  "IDPACK01"
+    magic  8 bytes  "IDPACK02"
     block  payload of every id in `bits` bits, most significant first, padded to a byte, at `offset`
     footer int64 arrays: document ids, their numbers of ids, block offsets, block id counts
-    tail   int64 x 4: bits, documents, blocks, footer offset
+    tail   int64 x 5: bits, documents, documents without an id (they stand first), blocks, footer offset
 
 `bits` is the least width that holds the vocabulary, so that id `i` of a block lies at bit `i * bits`
 and any range of ids is read with one seek and unpacked by numpy. A file is written under a name of
@@ -20,18 +20,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from seriesmart.llm.common import map_arrow, new_path, partitions, slices, stored, texts_of
-from seriesmart.llm.pieces import UnitCache
+from seriesmart.llm.library_ids import unit_cache, vocabulary_size
 
-MAGIC = b"IDPACK01"
+MAGIC = b"IDPACK02"
 #: Ids in a block, unless one document has more.
 BLOCK_IDS = 1 << 18
-#: Distinct units that a worker remembers.
-REMEMBERED = 1_200_000
 
 
 def width(vocabulary: int) -> int:
@@ -70,11 +70,13 @@ class Writer:
         self.counts: list[np.ndarray] = []
         self.blocks: list[tuple[int, int]] = []
         self.waiting: list[np.ndarray] = []
-        self.held = 0
+        self.held = self.nulls = 0
         self.at = out.write(MAGIC)
 
-    def add(self, docs: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
-        self.docs.append(docs)
+    def add(self, docs: pa.Array, counts: np.ndarray, ids: np.ndarray) -> None:
+        """Documents without an id come before all others."""
+        self.nulls += docs.null_count
+        self.docs.append(docs.fill_null(0).to_numpy())
         self.counts.append(counts)
         self.waiting.append(ids)
         self.held += len(ids)
@@ -96,7 +98,7 @@ class Writer:
         offsets, sizes = np.array(self.blocks, "<i8").reshape(-1, 2).T
         for part in (docs, counts, offsets, sizes):
             self.out.write(np.ascontiguousarray(part, "<i8").tobytes())
-        self.out.write(np.array([self.bits, len(docs), len(offsets), self.at], "<i8").tobytes())
+        self.out.write(np.array([self.bits, len(docs), self.nulls, len(offsets), self.at], "<i8").tobytes())
 
 
 class Reader:
@@ -104,14 +106,20 @@ class Reader:
 
     def __init__(self, source, size: int):
         self.source = source
-        source.seek(size - 32)
-        self.bits, docs, blocks, at = np.frombuffer(source.read(32), "<i8").tolist()
+        source.seek(0)
+        if source.read(len(MAGIC)) != MAGIC:
+            raise ValueError("not a file of packed ids")
+        source.seek(size - 40)
+        self.bits, docs, self.nulls, blocks, at = np.frombuffer(source.read(40), "<i8").tolist()
         source.seek(at)
         footer = np.frombuffer(source.read((docs + blocks) * 16), "<i8")
         self.docs, self.counts = footer[:docs], footer[docs : 2 * docs]
         self.offsets, self.sizes = footer[2 * docs : 2 * docs + blocks], footer[2 * docs + blocks :]
         self.block_ends = np.cumsum(self.sizes)
 
+    def doc_ids(self, first: int, end: int) -> pa.Array:
+        return pa.array(self.docs[first:end], mask=np.arange(first, end) < self.nulls)
+
     def ids(self, first: int, count: int) -> np.ndarray:
         """Ids `first` to `first + count` of the file, from the blocks that hold them."""
         out, end = [], first + count
@@ -134,38 +142,7 @@ class Reader:
 
 # --- Spark ---------------------------------------------------------------------------------------
 
-_TOKENIZERS: dict[str, UnitCache] = {}
-
-
-def _tokenizer(path: str) -> UnitCache:
-    """The tokenizer of a JSON file, one per worker process, asked once for each distinct unit."""
-    if path not in _TOKENIZERS:
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-        def encode(units: list[str]) -> list[bytes]:
-            coded = []
-            for a in range(0, len(units), 5000):
-                made = tokenizer.encode_batch_fast(units[a : a + 5000], add_special_tokens=False)
-                coded += [np.array(e.ids, np.int32).tobytes() for e in made]
-            return coded
-
-        _TOKENIZERS[path] = UnitCache(encode, REMEMBERED)
-    return _TOKENIZERS[path]
-
-
-def vocabulary_size(path: str) -> int:
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
-
-
-FILES = "file string, first_doc long, n_docs long, n_ids long"
+FILES = "file string, place int, first_doc long, n_docs long, n_ids long"
 
 
 def write_ids(
@@ -177,45 +154,42 @@ def write_ids(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """Ids of all texts in files under `folder`, and the files as (file, first_doc, n_docs, n_ids, start).
+    """Ids of all texts in files under `folder`, and the files as (file, place, first_doc, n_docs, n_ids, start).
 
-    Documents are range-partitioned by id; a task writes one file. `start` is the number of ids in all
-    files before. `end_id` follows every document. A null text counts as empty and has the end id
-    alone. Rows that repeat an id stand beside each other, in order of their text. A null id fails the
-    write, since the files order documents by id. An empty table gives no file. Columns other than
-    the two named are not read.
+    Documents are range-partitioned by id and a hash of the text, so that one id of many rows is split;
+    a task writes one file. `start` is the number of ids in all files before. `end_id` follows every
+    document. A null text counts as empty and has the end id alone. Rows without an id come first, as
+    Spark orders nulls; rows that repeat an id stand beside each other, in order of that hash. An
+    empty table gives no file. Columns other than the two named are not read.
     """
+    shape = to_arrow_schema(T._parse_datatype_string(FILES))
     bits = width(max(vocabulary_size(tokenizer), end_id + 1))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    order = [F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))]
+    ordered = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pyarrow.fs.FileSystem.from_uri(folder)
-        cache, writer, first = _tokenizer(tokenizer), None, 0
+        cache, writer, first = unit_cache(tokenizer), None, None
         name = uuid.uuid4().hex
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
-                if part.column("doc_id").null_count:
-                    raise ValueError("a document without an id")
                 ids, counts = cache.encode_texts(texts_of(part, "text"))
-                known = part.column("doc_id").to_numpy()
                 if writer is None:
                     fs.create_dir(root, recursive=True)
                     out = fs.open_output_stream(f"{root}/{name}.writing")
-                    writer, first = Writer(out, bits), int(known[0])
-                writer.add(known, counts + 1, np.insert(ids, np.cumsum(counts), end_id))
+                    writer, first = Writer(out, bits), part.column("doc_id")[0].as_py()
+                writer.add(part.column("doc_id"), counts + 1, np.insert(ids, np.cumsum(counts), end_id))
         if writer is not None:
             writer.close()
             out.close()
             fs.move(f"{root}/{name}.writing", f"{root}/{name}.ids")
             n = [sum(map(len, writer.docs)), int(sum(c.sum() for c in writer.counts))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x]) for x in (f"{name}.ids", first, *n)],
-                names=["file", "first_doc", "n_docs", "n_ids"],
-            )
+            place = TaskContext.get().partitionId()  # ranges are numbered in their order
+            yield pa.RecordBatch.from_pylist([dict(zip(shape.names, (f"{name}.ids", place, first, *n)))], shape)
 
     files = stored(spark, map_arrow(ordered, run, FILES), "id-files")
-    before = Window.orderBy("first_doc").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
@@ -235,7 +209,7 @@ def read_ids(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
 def _id_rows(docs, starts, counts, ids):
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int64)))
-    return [pa.array(docs), pa.array(starts), pa.array(counts), listed]
+    return [docs, pa.array(starts), pa.array(counts), listed]
 
 
 def read_digests(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
@@ -250,7 +224,7 @@ def _digest_rows(docs, starts, counts, ids):
     data = memoryview(ids.astype("<u4").tobytes())
     ends = np.cumsum(counts) * 4
     digests = [zlib.crc32(data[e - 4 * n : e]) for e, n in zip(ends, counts, strict=True)]
-    return [pa.array(docs), pa.array(starts), pa.array(counts), pa.array(digests, pa.int64())]
+    return [docs, pa.array(starts), pa.array(counts), pa.array(digests, pa.int64())]
 
 
 def _over_files(spark, files: DataFrame, folder: str, schema, rows_of) -> DataFrame:
@@ -274,7 +248,7 @@ def _over_files(spark, files: DataFrame, folder: str, schema, rows_of) -> DataFr
                         ids = reader.ids(low, int(ends[b - 1]) - low)
                         starts = start + ends[a:b] - counts
                         yield pa.RecordBatch.from_arrays(
-                            rows_of(reader.docs[a:b], starts, counts, ids), names=names
+                            rows_of(reader.doc_ids(a, b), starts, counts, ids), names=names
                         )
                         a = b
 

@@ -1,33 +1,42 @@
 """Cutting texts into units that byte-level BPE encodes independently of each other.
 
 The split pattern of the tokenizers lets no match reach from a character that is not white space
-over white space, so a text falls into words with at most one leading space and into white space.
+over white space, so a text falls into words with at most one leading space and into white space; a
+single line feed is a match of its own.
 Distinct units are few compared with their occurrences, and each is encoded once per worker.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-# White space as the split pattern means it (Unicode White_Space).
-_BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_DOUBLE = re.compile(f"[{_BLANK}][{_BLANK}]")
+# White space as the split pattern means it (Unicode White_Space), but for space and line feed.
+_OTHER_BLANK = r"\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BLANK = r"\n " + _OTHER_BLANK
+_RARE = re.compile(f"[{_OTHER_BLANK}]")
 _COARSE = re.compile(rf" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
 _HEAD, _SPACED = 0, 1
 
 
+def _plain(text: str) -> bool:
+    """Whether all white space of the text is single spaces and line feeds."""
+    double = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+    return not double and not _RARE.search(text)
+
+
 def _cut(text: str) -> Iterator[tuple[int, list[str]]]:
     """Runs of units: as they stand (_HEAD), or without the one space before each (_SPACED)."""
-    if not _DOUBLE.search(text):
-        first, *rest = text.split(" ")
-        yield _HEAD, [first]
-        yield _SPACED, rest
-    else:
+    if not _plain(text):
         yield _HEAD, _COARSE.findall(text)
+        return
+    for k, line in enumerate(text.split("\n")):
+        first, *rest = line.split(" ")
+        yield _HEAD, ["\n", first] if k else [first]
+        yield _SPACED, rest
 
 
 def units(text: str) -> list[str]:
@@ -38,39 +47,56 @@ def units(text: str) -> list[str]:
 class UnitCache:
     """Ids of units, filled by `encode` (distinct new units to their ids as bytes of int32).
 
-    Over `most` units the memory is emptied; units over `longest` characters are not remembered.
+    Over `most` units the memory is emptied; units over `longest` characters are not remembered. A text
+    that contains one of `whole` (strings that the tokenizer finds before it splits) is one unit.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int, longest: int = 64):
-        self.encode, self.most, self.longest = encode, most, longest
+    def __init__(
+        self,
+        encode: Callable[[list[str]], list[bytes]],
+        most: int,
+        longest: int = 64,
+        whole: tuple[str, ...] = (),
+    ):
+        self.encode, self.most, self.longest, self.whole = encode, most, longest, whole
         self.known: list[dict[str, bytes]] = [{"": b""}, {}]
 
-    def _learn(self, cut: list[list[tuple[int, list[str]]]]) -> list[dict[str, bytes]]:
-        """Tables with all units of the runs."""
-        if sum(map(len, self.known)) > self.most:
-            self.known = [{"": b""}, {}]
-        fresh = []
-        for kind, known in enumerate(self.known):
-            runs = [run for text in cut for k, run in text if k == kind]
-            fresh.append([u for u in set().union(*runs) if u not in known])
-        coded = self.encode([*fresh[_HEAD], *[" " + u for u in fresh[_SPACED]]])
-        tables = []
-        for known, words in zip(self.known, fresh, strict=True):
-            new = dict(zip(words, coded, strict=False))
-            coded = coded[len(words) :]
-            known.update((u, c) for u, c in new.items() if len(u) <= self.longest)
-            long = {u: c for u, c in new.items() if len(u) > self.longest}
-            tables.append(known | long if long else known)
-        return tables
+    def _runs(self, text: str) -> Iterable[tuple[int, list[str]]]:
+        return [(_HEAD, [text])] if any(w in text for w in self.whole) else _cut(text)
 
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and how many each text has."""
-        cut = [list(_cut(t)) for t in texts]
-        gets = [known.__getitem__ for known in self._learn(cut)]
-        parts = [b"".join([b"".join(map(gets[k], run)) for k, run in text]) for text in cut]
+        if sum(map(len, self.known)) > self.most:
+            self.known = [{"": b""}, {}]
+        gets = [known.get for known in self.known]
+        coded: list[list[bytes | None]] = []
+        gaps: list[tuple[list, int, list[tuple[int, str]]]] = []  # units not known: of a text, of a kind, at places
+        for text in texts:
+            coded.append(found := [])
+            for kind, run in self._runs(text):
+                got = list(map(gets[kind], run))
+                if None in got:
+                    at = len(found)
+                    gaps.append((found, kind, [(at + i, u) for i, (u, c) in enumerate(zip(run, got)) if c is None]))
+                found += got
+        tables = self._learn(gaps)
+        for found, kind, places in gaps:
+            table = tables[kind]
+            for i, u in places:
+                found[i] = table[u]
+        parts = [b"".join(found) for found in coded]
         counts = np.array([len(p) // 4 for p in parts], np.int64)
         return np.frombuffer(b"".join(parts), np.int32), counts
 
+    def _learn(self, gaps: list[tuple[list, int, list[tuple[int, str]]]]) -> list[dict[str, bytes]]:
+        """Ids of all units in the gaps, by kind; the shorter units are remembered."""
+        fresh = [list({u for _, k, places in gaps if k == kind for _, u in places}) for kind in (_HEAD, _SPACED)]
+        ids = iter(self.encode([*fresh[_HEAD], *[" " + u for u in fresh[_SPACED]]]))
+        tables = [dict(zip(words, ids)) for words in fresh]
+        for known, new in zip(self.known, tables, strict=True):
+            known.update((u, c) for u, c in new.items() if len(u) <= self.longest)
+        return tables
+
 
 def id_lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(counts) + 1, np.int32)

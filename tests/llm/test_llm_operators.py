@@ -28,6 +28,7 @@ from seriesmart.llm import (  # noqa: E402
     topk,
     toxicity,
 )
+from seriesmart.llm.library_ids import load  # noqa: E402
 from seriesmart.llm.pieces import units  # noqa: E402
 from seriesmart.llm.shingles import shingle_set  # noqa: E402
 
@@ -89,21 +90,38 @@ def test_packing_round_trips():
         assert (packed_ids.unpack(data, bits, 300, 77) == ids[77:377]).all()
 
 
-def test_id_files_hold_documents_in_order(spark, docs, none):
+def test_id_files_are_the_library_in_order(spark, docs, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
+    library = load(path)
+    odd = [(9, "x  <|endoftext|> y"), (9, "a\n\nb \n c\nd"), (10, "e\tf\n"), (11, "one\ntwo three\nfour"), (None, "null\nid")]
+    extra = spark.createDataFrame(odd, "doc_id long, text string")
     folder = packed_ids.id_folder(spark)
-    named = docs.filter("doc_id IS NOT NULL")
-    files = packed_ids.write_ids(spark, named, path, folder)
+    both = docs.select("doc_id", "text").union(extra)
+    files = packed_ids.write_ids(spark, both, path, folder)
     rows = sorted(packed_ids.read_ids(spark, files, folder).collect(), key=lambda r: r.start)
-    assert [r.doc_id for r in rows] == sorted(r[0] for r in ROWS if r[0])
+    texts = [(r[0], r[1] or "") for r in ROWS] + odd
+    assert [r.doc_id for r in rows] == sorted([d for d, _ in texts], key=lambda d: (d is not None, d))
+    ids = [(d, (*library.encode(t, add_special_tokens=False).ids, 0)) for d, t in texts]
+    assert sorted(map(repr, ids)) == sorted(repr((r.doc_id, tuple(r.ids))) for r in rows)
+    assert 50256 in [i for r in rows for i in r.ids]
     at = 0
     for r in rows:
-        assert r.start == at and r.ids[-1] == 0 and r.n_tokens == len(r.ids)
+        assert r.start == at and r.n_tokens == len(r.ids)
         at += r.n_tokens
     empty = packed_ids.write_ids(spark, none, path, packed_ids.id_folder(spark))
     assert empty.count() == 0
 
 
+def test_long_texts_are_coded_whole():
+    b = bpe.Bpe(RANKS, public_tokenizers.PATTERN)
+    text = "wort und " * 150_000 + "ab" * 5_000
+    flat, counts = b.cache.encode_texts([text, "", "x y"])
+    assert flat[: counts[0]].tolist() == reference().encode_ordinary(text)
+    assert b.decode(flat, counts) == [text.encode(), b"", b"x y"]
+    many = np.full(3_000_000, 64, np.int32)
+    assert b.decode(many, np.array([0, 3_000_000])) == [b"", b"a" * 3_000_000]
+
+
 def brute_components(rows):
     sets = {r[0]: set(shingle_set(r[1]).tolist()) for r in rows if r[0] is not None}
     label = {d: d for d in sets}
