@@ -31,7 +31,7 @@ LONG_WORD = 512
 ROUND_ROWS = 500_000
 #: Distinct units that a worker remembers.
 REMEMBERED = 250_000
-#: Tokens of one decoding query, unless a single document has more.
+#: Tokens of one decoding query.
 DECODED_ROWS = 250_000
 
 # Positions count on over all words of a query. A round finds each word's least (rank, position) among
@@ -70,6 +70,7 @@ class Bpe:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
         self.cache = UnitCache(self.encode_units, REMEMBERED)
+        self.words: dict[str, bytes] = {}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         ranks = self.ranks
         merges = [
@@ -101,9 +102,12 @@ class Bpe:
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         cut = [self.pattern.findall(u) for u in units]
-        words: dict[str, bytes] = {}
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        words = self.words
         short, most = [], 0
-        for word in set().union(*cut):
+        new = set().union(*cut).difference(words)
+        for word in new:
             coded = word.encode()
             if len(coded) > LONG_WORD:
                 words[word] = self.contract_long(coded)
@@ -116,7 +120,11 @@ class Bpe:
         if short:
             words.update(self.contract(short))
         get = words.__getitem__
-        return [b"".join(map(get, w)) for w in cut]
+        made = [b"".join(map(get, w)) for w in cut]
+        for word in new:
+            if len(word) > self.cache.longest:
+                del words[word]
+        return made
 
     def contract(self, words: list[tuple[str, bytes]]) -> dict[str, bytes]:
         lengths = np.array([len(b) for _, b in words])
@@ -169,28 +177,30 @@ class Bpe:
     # --- Decoding --------------------------------------------------------------------------------
 
     def decode(self, flat: np.ndarray, counts: np.ndarray) -> list[bytes]:
-        """Bytes of documents whose ids stand one after the other."""
-        out = [b""] * len(counts)
+        """Bytes of documents whose ids stand one after the other, in runs of ids of one query each.
+
+        A document that reaches over the end of a run is decoded in parts, so that no query grows with
+        the length of a document.
+        """
+        parts: list[list[bytes]] = [[] for _ in counts]
         ends = np.cumsum(counts)
-        a = 0
-        while a < len(counts):
-            start = ends[a] - counts[a]
-            b = max(a + 1, int(np.searchsorted(ends, start + DECODED_ROWS, "right")))
-            part, n = flat[start : ends[b - 1]], counts[a:b]
+        for start in range(0, len(flat), DECODED_ROWS):
+            run = flat[start : start + DECODED_ROWS]
+            at = np.arange(start, start + len(run))
             rows = pa.table(
                 {
-                    "doc": np.repeat(np.arange(a, b, dtype=np.int32), n),
-                    "pos": np.arange(len(part), dtype=np.int32),
-                    "id": part,
+                    "doc": np.searchsorted(ends, at, "right").astype(np.int32),
+                    "pos": np.arange(len(run), dtype=np.int32),
+                    "id": run,
                 }
             )
             self.db.register("id_rows", rows)
-            for doc, text, known in self.db.execute(_DECODE).fetchall():
-                if known != counts[doc]:
-                    raise ValueError("an id is not in the vocabulary")
-                out[doc] = text.encode("latin-1")
-            a = b
-        return out
+            found = self.db.execute(_DECODE).fetchall()
+            if sum(known for _, _, known in found) != len(run):
+                raise ValueError("an id is not in the vocabulary")
+            for doc, text, _ in found:
+                parts[doc].append(text.encode("latin-1"))
+        return [b"".join(p) for p in parts]
 
 
 _LOADED: dict[tuple[str, str], Bpe] = {}
