@@ -28,9 +28,9 @@ from seriesmart.llm.pieces import UnitCache, id_lists
 
 LONG_WORD = 512
 #: Words of one recursive query have at most so many token rows over all rounds.
-ROUND_ROWS = 500_000
+ROUND_ROWS = 2_000_000
 #: Distinct units that a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 700_000
 #: Tokens of one decoding query.
 DECODED_ROWS = 250_000
 
@@ -79,7 +79,7 @@ class Bpe:
             for i in range(1, len(k))
             if k[:i] in ranks and k[i:] in ranks
         ]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges_rows = pa.table(
             {
                 "pair": pa.array([m[0] for m in merges], pa.int64()),
