@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmart.llm import bpe, fingerprint, jaccard, langid, mixing, packed_ids, passages, sharding, topk, toxicity
+from seriesmart.llm import (
+    bpe,
+    cover_codes,
+    fingerprint,
+    jaccard,
+    langid,
+    merkle,
+    mixing,
+    packed_ids,
+    packing,
+    passages,
+    sharding,
+    topk,
+    toxicity,
+)
 from seriesmart.llm.common import n_words, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -249,3 +264,168 @@ def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_passages(spark: SparkSession, d: str) -> DataFrame:
     return passages.repeated_passages(spark, table(spark, d, "documents")).drop("cls")
+
+
+# --- 11: vector code compression -----------------------------------------------------------------
+
+
+@query
+def op11_cover_codes(spark: SparkSession, d: str) -> DataFrame:
+    coded = cover_codes.compress(spark, table(spark, d, "embeddings").select("vec_id", "embedding", "label"))
+    digest = hashlib.sha256(",".join(map(str, coded.codebooks.ravel().tolist())).encode()).hexdigest()
+    return cover_codes.error_of_groups(coded.rows, "label", "label_error").select(
+        "vec_id",
+        F.array_join(F.transform("code", lambda e: F.lpad(F.lower(F.hex(e)), 2, "0")), "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(digest).alias("codebooks_sha256"),
+    )
+
+
+def _codebook_round(before: str, after: str) -> str:
+    """Parts assigned to the entries of `before`, and the entries they give."""
+    return f"""{after}_assigned AS MATERIALIZED (
+    SELECT r, p, arg_min(e, (distance << 8) + e) AS e, min(distance) AS distance
+    FROM (SELECT t.r, t.p, c.e, list_sum(list_transform(list_zip(t.x, c.x),
+            lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+        FROM parts t JOIN {before} c USING (p))
+    GROUP BY r, p
+), {after} AS MATERIALIZED (
+    SELECT p, e, coalesce(n.x, c.x) AS x FROM {before} c LEFT JOIN (
+        SELECT p, e, list(m ORDER BY k) AS x FROM (
+            SELECT p, e, k, floor(sum(y)::DOUBLE / count(*))::BIGINT AS m
+            FROM (SELECT p, e, unnest(x) AS y, generate_subscripts(x, 1) AS k
+                FROM {after}_assigned JOIN parts USING (r, p))
+            GROUP BY p, e, k)
+        GROUP BY p, e) n USING (p, e)
+)"""
+
+
+ORACLES["op11_cover_codes"] = f"""
+WITH usable AS MATERIALIZED (
+    SELECT *, row_number() OVER (ORDER BY vec_id, v) - 1 AS r FROM (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding,
+            lambda x: x IS NULL OR NOT isfinite(x))))
+), parts AS MATERIALIZED (
+    SELECT r, p, v[p * len(v) // 16 + 1 : (p + 1) * len(v) // 16] AS x FROM usable, range(16) AS t(p)
+), start AS MATERIALIZED (SELECT p, r AS e, x FROM parts WHERE r < 64
+), {_codebook_round("start", "one")}, {_codebook_round("one", "two")}, {_codebook_round("two", "last")}, coded AS (
+    SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(distance)::BIGINT AS error
+    FROM last_assigned GROUP BY r
+), books AS (
+    SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM two
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN usable USING (r), books
+"""
+
+
+# --- 12: Merkle dataset manifest -----------------------------------------------------------------
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+@query
+def op12_merkle(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    changed = merkle.leaf(*map(F.col, fields), F.translate("text", UPPER, UPPER.lower()))
+    rows = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf(*map(F.col, fields), F.col("text")).alias("digest"),
+        F.when(fold(5) == 0, changed).alias("tampered"),
+    )
+    found = merkle.manifest(spark, rows, "source", ["doc_id"], "digest")
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("steps"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _trees(nodes: str, leaves: str) -> str:
+    """All nodes of trees, with the siblings on both sides of each."""
+    run = "PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN"
+    return f"""{nodes}_all(tree, level, pos, n, h) AS (
+    SELECT tree, 0, pos, n, h FROM {leaves}
+    UNION ALL
+    SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+    FROM {nodes}_all WHERE n > 1 GROUP BY tree, level, pos // 16, n
+), {nodes} AS MATERIALIZED (
+    SELECT *, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM {nodes}_all
+)"""
+
+
+# crc32 bit by bit: a byte is mixed in, then eight steps (-1) follow.
+_CRC_OF_ID = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, b: CASE WHEN b >= 0 THEN xor(crc, b) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384::BIGINT)
+        ELSE crc >> 1 END), 4294967295::BIGINT)"""
+
+ORACLES["op12_merkle"] = f"""
+WITH RECURSIVE rows AS MATERIALIZED (
+    SELECT *, row_number() OVER () AS id, count(*) OVER (PARTITION BY tree) AS n,
+        row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos
+    FROM (SELECT doc_id, source AS tree, {_leaf("text")} AS h, CASE WHEN {_CRC_OF_ID} % 5 = 0
+            THEN {_leaf(f"translate(text, '{UPPER}', '{UPPER.lower()}')")} END AS tampered
+        FROM documents)
+), {_trees("nodes", "rows")}, subroots AS MATERIALIZED (
+    SELECT 0 AS tree, tree AS name, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, h,
+        count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+), {_trees("tops", "subroots")}, below(id, level, pos, h, proof) AS (
+    SELECT id, 0, pos, coalesce(tampered, h), '' FROM rows
+    UNION ALL
+    SELECT b.id, b.level + 1, b.pos // 16, sha256(x.l || b.h || x.r), b.proof || x.l || x.r
+    FROM below b JOIN rows USING (id)
+    JOIN nodes x ON x.tree IS NOT DISTINCT FROM rows.tree AND x.level = b.level AND x.pos = b.pos AND x.n > 1
+), top_rows AS (
+    SELECT id, 0 AS level, s.pos, b.h, b.proof
+    FROM (SELECT id, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM below GROUP BY id) b
+    JOIN rows USING (id) JOIN subroots s ON s.name IS NOT DISTINCT FROM rows.tree
+), above(id, level, pos, h, proof) AS (
+    SELECT * FROM top_rows
+    UNION ALL
+    SELECT a.id, a.level + 1, a.pos // 16, sha256(x.l || a.h || x.r), a.proof || x.l || x.r
+    FROM above a JOIN tops x ON x.level = a.level AND x.pos = a.pos AND x.n > 1
+), folded AS (SELECT id, arg_max(h, level) AS folded_root, arg_max(proof, level) AS proof FROM above GROUP BY id
+), root AS (SELECT h AS root FROM tops WHERE n = 1)
+SELECT doc_id, rows.h AS leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, folded_root,
+    folded_root = root AS verified
+FROM rows JOIN folded USING (id) JOIN subroots s ON s.name IS NOT DISTINCT FROM rows.tree, root
+"""
+
+
+# --- 13: best-fit packing ------------------------------------------------------------------------
+
+
+@query
+def op13_packing(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    packed = packing.pack(spark, docs, public_tokenizers.path(TOKENIZER), keep_ids=False)
+    return packed.select(
+        "doc_id",
+        F.col("piece").cast("int").alias("piece"),
+        "start",
+        "length",
+        "ids_crc32",
+        "sequence_id",
+        "offset",
+    )
