@@ -30,7 +30,7 @@ def connect(directory: str) -> duckdb.DuckDBPyConnection:
 # What an engine calls a type, by the kind of value it delivers.
 KINDS = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
-    "timestamp_ntz": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 
