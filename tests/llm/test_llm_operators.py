@@ -240,6 +240,44 @@ def test_passages_against_brute_force(spark):
     assert all(found[k] <= exact[k] for k in exact)
 
 
+def test_near_copies_of_passages_that_share_a_line(spark):
+    """Eight passages around one frequent line, then a copy of each with one word changed."""
+    less, line = frequent_lines()
+    own = [around(f"own{k}", line) for k in range(8)]
+    copies = [[*p[:10], f"edited{k}", *p[11:]] for k, p in enumerate(own)]
+    left = words_left(spark, own + copies)
+    assert [len(left[k]) for k in range(9, 17)] == [0] * 8
+
+
+def test_recall_of_near_passages(spark):
+    """Passages of 60 to 120 words with edits, at the limit of similarity too, in texts of their own and mixed lines."""
+    rng = np.random.default_rng(8)
+    less, line = frequent_lines()
+    words = [f"v{k}" for k in range(3000)]
+
+    def text(n):
+        return [words[k] for k in rng.integers(0, len(words), n)]
+
+    texts, edited, asked = [], [], 0
+    for k in range(120):
+        p = text(int(rng.integers(60, 120)))
+        if k % 3 == 0:
+            p = [*p[:30], *line, *p[30:]]
+        q = list(p)
+        for at in rng.integers(2, len(p) - 2, 1 + k % 2):
+            q[at] = f"edit{k}"
+        a, b = (set(passages._tokens(" ".join(t)).tolist()) for t in (p, q))
+        texts.append([*text(40), *p, *text(40)])
+        edited.append([*text(40), *q, *text(40)] if 100 * len(a & b) >= 80 * len(a | b) else None)
+    left = words_left(spark, texts + [e for e in edited if e])
+    caught = 0
+    for k, e in enumerate([e for e in edited if e], len(texts) + 1):
+        passage = set(range(45, len(e) - 45))
+        caught += len(passage & left[k]) <= 0.2 * len(passage)
+        asked += 1
+    assert asked > 80 and caught >= 0.9 * asked
+
+
 def test_topk_against_brute_force(spark):
     rng = np.random.default_rng(2)
     v = {i: rng.normal(size=8).astype(np.float32) for i in range(300)}
