@@ -45,6 +45,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 OVERLAPPING = ("national_summary", "national_fulltime_parttime")
 ERA_YEARS = [1995, 1996, 1997]
 SLICE_FROM = 1998
+SLICED_YEARS = ["FY1996", "FY1997"]
 
 QUERIES: dict[str, Query] = {}
 
@@ -64,7 +65,7 @@ def _star(
     lf = B.lf_observations(spark, d, extracts) if extracts else None
     acct = B.account_observations(spark, d) if account else None
     typed = typed_observations(lf, acct)
-    return fct_observations(deduplicated(typed)), dim_series(typed, B.code_lists(spark, d))
+    return fct_observations(deduplicated(typed), partitioned=True), dim_series(typed, B.code_lists(spark, d))
 
 
 def _national(spark: SparkSession, d: str) -> DataFrame:
@@ -95,6 +96,11 @@ def _national_marts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     }
 
 
+def _days(spark: SparkSession, d: str) -> DataFrame:
+    """The reporting calendar up to the last order."""
+    return day_spine(spark, B.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date")))
+
+
 # --- Ingestion -----------------------------------------------------------------------------------
 
 
@@ -156,12 +162,16 @@ def members_found(spark: SparkSession, d: str) -> DataFrame:
 def ingest_report(spark: SparkSession, d: str) -> DataFrame:
     monthly = [e for e in EXTRACTS if e.dataflow == LABOUR_FORCE]
     landed = B.lf_observations(spark, d, ("national_summary", "national_trend", B.STATE_EXTRACT))
-    return O.ingest_report(landed, monthly)
+    states = load_seed(spark, "seed_region").filter("geography_level <> 'National'")
+    return O.ingest_report(landed, monthly, {"region": states})
 
 
 @query
 def slice_from_year(spark: SparkSession, d: str) -> DataFrame:
-    return O.slice_from_year(B.lf_observations(spark, d), SLICE_FROM)
+    """Monthly and annual rows: of the monthly ones those from a year on, of the annual ones all."""
+    columns = ["source_extract", "dataflow", "measure", "freq", "time_period", "obs_value"]
+    both = B.lf_observations(spark, d).select(*columns).unionByName(B.account_observations(spark, d).select(*columns))
+    return O.slice_from_year(both, SLICE_FROM)
 
 
 # --- Staging -------------------------------------------------------------------------------------
@@ -315,8 +325,7 @@ def kpi_by_region(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def calendar_join(spark: SparkSession, d: str) -> DataFrame:
-    last = B.table(spark, d, "orders").agg(F.max(F.col("o_orderdate").cast("date"))).first()[0]
-    joined = S.with_calendar(_national(spark, d), day_spine(spark, last or dt.date(1978, 1, 1)))
+    joined = S.with_calendar(_national(spark, d), _days(spark, d))
     return joined.select(
         "date", "unemployment_rate_pct", "year", "month_number", "month_year", "quarter",
         "financial_year", "financial_year_sort", "is_first_of_month",
@@ -396,6 +405,22 @@ def share_crosstab(spark: SparkSession, d: str) -> DataFrame:
     return pages.share_crosstab(_ftpt(spark, d))
 
 
+@query
+def share_crosstab_totals(spark: SparkSession, d: str) -> DataFrame:
+    return pages.share_crosstab_totals(_ftpt(spark, d))
+
+
+@query
+def state_totals(spark: SparkSession, d: str) -> DataFrame:
+    return pages.state_totals(_state(spark, d))
+
+
+@query
+def slicer_financial_years(spark: SparkSession, d: str) -> DataFrame:
+    """Two financial years picked on the calendar, and what all four marts then show."""
+    return pages.sliced_totals(S.slice_calendar(_all_marts(spark, d), _days(spark, d), {"financial_year": SLICED_YEARS}))
+
+
 @query
 def ftpt_by_sex(spark: SparkSession, d: str) -> DataFrame:
     return pages.ftpt_by_sex(_ftpt(spark, d), 3)
@@ -532,6 +557,21 @@ def dq_coverage_days(spark: SparkSession, d: str) -> DataFrame:
     return Q.failing_coverage(B.table(spark, d, "orders"), "o_orderdate", "o_orderpriority", 5)
 
 
+@query
+def dq_coverage_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Months and states of the code list without an observation, states that never occur included."""
+    observed = typed_observations(B.lf_observations(spark, d, [B.STATE_EXTRACT]))
+    states = load_seed(spark, "seed_region").filter("geography_level <> 'National'")
+    return Q.missing_members(observed, "period_date", "region_code", states, "region_code")
+
+
+@query
+def dq_coverage_grid_days(spark: SparkSession, d: str) -> DataFrame:
+    """Days and order priorities without an order, days without any order included."""
+    orders = B.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_orderpriority")
+    return Q.missing_members(orders, "day", "o_orderpriority", orders, "o_orderpriority", "1 day")
+
+
 @query
 def dq_basis(spark: SparkSession, d: str) -> DataFrame:
     """The check as declared, which cannot fail, and over what feeds a national comparison."""
@@ -574,6 +614,16 @@ def diff_builds(spark: SparkSession, d: str) -> DataFrame:
     return Q.diff_builds(lines, other, ["l_orderkey", "l_linenumber"])
 
 
+@query
+def diff_builds_by_digest(spark: SparkSession, d: str) -> DataFrame:
+    """Two builds of the order lines that differ in few ranges of orders: the fullest lines are corrected."""
+    lines = dedupe(B.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_quantity"])
+    corrected = (F.col("l_quantity") == 50) & (F.col("l_discount") >= 0.1) & (F.col("l_tax") >= 0.08)
+    quantity = F.when(corrected, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    other = lines.withColumn("l_quantity", quantity)
+    return Q.diff_builds(lines, other, ["l_orderkey", "l_linenumber"], digests=True)
+
+
 def _other_build(lines: DataFrame) -> DataFrame:
     quantity = F.when(F.col("l_quantity") < 10, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
     return lines.filter(F.col("l_linestatus") == "F").withColumn("l_quantity", quantity)

@@ -73,6 +73,23 @@ def failing_coverage(df: DataFrame, period: str, member: str, expected: int) ->
     )
 
 
+def missing_members(
+    df: DataFrame, period: str, member: str, codes: DataFrame, code: str, step: str = "1 month"
+) -> DataFrame:
+    """(period, member) of the expected grid without a row: a whole period, a member that never occurs, or one cell.
+
+    The grid has every ``step`` from the first period of ``df`` to the last, and every member of the
+    code list, which is small by nature and one array here. Nulls are neither periods nor members. The
+    table is read once, for its distinct pairs; their first and last period bound the grid.
+    """
+    pairs = df.filter(F.col(period).isNotNull()).select(period, member).distinct()
+    bounds = pairs.agg(F.min(period).alias("first"), F.max(period).alias("last"))
+    spine = bounds.select(F.explode(F.sequence("first", "last", F.expr(f"interval {step}"))).alias(period))
+    expected = codes.agg(F.array_sort(F.collect_set(code))).scalar()
+    grid = spine.select(period, F.explode(expected).alias(member))
+    return grid.join(pairs, [period, member], "left_anti")
+
+
 def failing_mixed_basis(series: DataFrame, basis: str = "adjustment_type") -> DataFrame:
     """One row if the series of a comparison are on more than one basis."""
     return series.agg(
@@ -174,12 +191,20 @@ def diff_rows(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     Both sides are grouped together instead of joined, so a key that is repeated, which is itself
     reported, cannot multiply rows.
     """
+    return _diff_tagged(*_tagged(left, right, keys), keys)
+
+
+def _tagged(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """The rows of both builds with their side, and the columns they share besides the keys."""
     values = [c for c in left.columns if c not in keys and c in right.columns]
     columns = [*keys, *values]
     tagged = left.select(*columns, F.lit("left").alias("side")).unionByName(
         right.select(*columns, F.lit("right").alias("side"))
     )
+    return tagged, values
+
 
+def _diff_tagged(tagged: DataFrame, values: list[str], keys: list[str]) -> DataFrame:
     def on(side: str) -> list[Column]:
         here = F.col("side") == side
         row = F.struct(F.lit(1).alias("present"), *values)
@@ -203,6 +228,62 @@ def diff_rows(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return marked.filter(F.col("status").isNotNull()).select(*keys, "status", "changed")
 
 
+DIGEST_RANGES = 4096
+
+
+def differing_ranges(
+    left: DataFrame, right: DataFrame, keys: list[str], ranges: Column | None = None
+) -> DataFrame:
+    """Ranges of keys whose rows differ between two builds.
+
+    A range's digest does not depend on the order of its rows: their number and the sums of two 64-bit
+    hashes of each. Unequal ranges have equal digests with a chance of about 2 to the -128th. Only
+    digests are shuffled, one row for each range and task.
+    """
+    tagged, values = _tagged(left, right, keys)
+    return _differing(_ranged(tagged, keys, ranges), values, keys)
+
+
+def _ranged(tagged: DataFrame, keys: list[str], ranges: Column | None) -> DataFrame:
+    place = F.pmod(_hash(keys, 0), F.lit(DIGEST_RANGES)) if ranges is None else ranges
+    return tagged.withColumn("key_range", place)
+
+
+def _hash(columns: list[str], salt: int) -> Column:
+    """A hash that tells nulls apart by their place, which the plain one passes over."""
+    nulls = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    return F.xxhash64(F.lit(salt), nulls, *columns)
+
+
+def _differing(ranged: DataFrame, values: list[str], keys: list[str]) -> DataFrame:
+    sides = {"left": F.col("side") == "left", "right": F.col("side") == "right"}
+    hashes = [_hash([*keys, *values], salt).cast("decimal(20,0)") for salt in (1, 2)]
+    digests = ranged.groupBy("key_range").agg(
+        *[F.count_if(here).alias(f"n_{side}") for side, here in sides.items()],
+        *[F.sum(F.when(here, h)).alias(f"h{k}_{side}") for side, here in sides.items() for k, h in enumerate(hashes)],
+    )
+    same = [F.col(f"{part}_left").eqNullSafe(F.col(f"{part}_right")) for part in ("n", "h0", "h1")]
+    return digests.filter(~reduce(Column.__and__, same)).select("key_range")
+
+
+def diff_rows_by_digest(
+    left: DataFrame, right: DataFrame, keys: list[str], ranges: Column | None = None
+) -> DataFrame:
+    """`diff_rows` that moves only rows of ranges whose digests differ; equal builds move none.
+
+    ``ranges`` numbers the ranges of a row's keys, at most a few thousand of them so that their list
+    is small; by default they are hashes of the keys. Where differences sit together, as after a late
+    delivery, ranges of the key itself leave more out. Keys are those of a grain that is checked: one that
+    both builds repeat alike is reported only where its range differs otherwise.
+    """
+    tagged, values = _tagged(left, right, keys)
+    ranged = _ranged(tagged, keys, ranges)
+    wanted = _differing(ranged, values, keys)
+    # The list has a row for each differing range at most; adaptive execution broadcasts it by its size.
+    rows = ranged.join(wanted, "key_range", "left_semi").drop("key_range")
+    return _diff_tagged(rows, values, keys)
+
+
 def diff_schemas(left: DataFrame, right: DataFrame) -> list[tuple[str, str | None]]:
     """(status, column) of columns that one build lacks, that differ in type, or in order."""
     mine, other = dict(left.dtypes), dict(right.dtypes)
@@ -221,20 +302,29 @@ def diff_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def diff_builds(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """`diff_tables` with differences of columns (n_keys null) and of the numbers of rows."""
+def diff_builds(
+    left: DataFrame, right: DataFrame, keys: list[str], digests: bool = False, ranges: Column | None = None
+) -> DataFrame:
+    """`diff_tables` with differences of columns (n_keys null) and of the numbers of rows.
+
+    ``digests`` compares ranges of keys first, see `diff_rows_by_digest`.
+    """
     columns = left.sparkSession.createDataFrame(
         [(s, c, None) for s, c in diff_schemas(left, right)], "status string, column string, n_keys long"
     )
-    return diff_tables(left, right, keys).unionByName(columns).unionByName(diff_counts(left, right))
+    rows = diff_rows_by_digest(left, right, keys, ranges) if digests else diff_rows(left, right, keys)
+    return _by_status(rows).unionByName(columns).unionByName(diff_counts(left, right))
 
 
 def diff_tables(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """(status, column, n_keys): differing keys by status, and by column where values changed."""
+    return _by_status(diff_rows(left, right, keys))
+
+
+def _by_status(differing: DataFrame) -> DataFrame:
     cause = F.explode_outer("changed").alias("column")
     return (
-        diff_rows(left, right, keys)
-        .select("status", cause)
+        differing.select("status", cause)
         .groupBy("status", "column")
         .agg(F.count(F.lit(1)).alias("n_keys"))
     )
@@ -261,43 +351,67 @@ class Checks:
         return sum(map(len, declared)) + bool(self.grain)
 
 
-def _count(failing: DataFrame, check: str, column: str) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(check).alias("check"), F.lit(column).alias("column"), "failures"
-    )
+def _same(columns: list[Column]) -> Column:
+    """Text that is equal exactly where all columns are, nulls included."""
+    texts = [c.cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts])
 
 
 def run_checks(df: DataFrame, checks: Checks, parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """(check, column, failures, severity) for every declared check of a table.
 
-    All checks of single rows share one pass over the table; each check on a key adds one
-    aggregation of that key alone.
+    All checks share one scan of the table and one shuffle: a row becomes one (check, key) for each
+    check on a key and one for each check of single rows that it fails. They are counted before the
+    shuffle, so a hot key or a check that fails everywhere is a row for each task. A parent adds its
+    own keys to the same shuffle.
     """
-    single = {("not_null", c): F.col(c).isNull() for c in checks.not_null}
-    single |= {("accepted_values", c): outside(c, v) for c, v in checks.accepted.items()}
-    results = []
-    if single:
-        counts = [F.count_if(bad).alias(f"{check}/{c}") for (check, c), bad in single.items()]
-        names = [f"{check}/{c}" for check, c in single]
-        rows = df.agg(*counts).unpivot([], names, "name", "failures")
-        results.append(
-            rows.select(
-                F.split_part("name", F.lit("/"), F.lit(1)).alias("check"),
-                F.split_part("name", F.lit("/"), F.lit(2)).alias("column"),
-                "failures",
-            )
-        )
-    results += [_count(failing_unique(df, c), "unique", c) for c in checks.unique]
-    if checks.grain:
-        results.append(_count(failing_grain(df, checks.grain), "grain", ", ".join(checks.grain)))
+    rows, keys = [("not_null", c) for c in checks.not_null], []
+    bad = [F.col(c).isNull() for c in checks.not_null]
+    rows += [("accepted_values", c) for c in checks.accepted]
+    bad += [outside(c, v) for c, v in checks.accepted.items()]
+    keys += [(("unique", c), [c]) for c in checks.unique]
+    keys += [(("grain", ", ".join(checks.grain)), checks.grain)] if checks.grain else []
+    keys += [(("relationships", c), [c]) for c in checks.references]
+    declared = [*rows, *[name for name, _ in keys]]
+    if not declared:
+        return df.sparkSession.createDataFrame([], "check string, column string, failures long, severity string")
+    place = {name: k for k, name in enumerate(declared)}
+
+    def entry(name: tuple[str, str], key: Column, when: Column | None = None) -> Column:
+        made = F.struct(F.lit(place[name]).alias("place"), key.alias("key"))
+        return made if when is None else F.when(when, made)
+
+    entries = [entry(name, F.lit(""), failed) for name, failed in zip(rows, bad, strict=True)]
+    for name, columns in keys:
+        given = None if name[0] == "grain" else F.col(columns[0]).isNotNull()
+        entries.append(entry(name, _same([F.col(c) for c in columns]), given))
+    parts = [df.select(F.inline(F.array_compact(F.array(*entries)))).withColumn("of_parent", F.lit(0))]
     for c, (parent, parent_column) in checks.references.items():
-        failing = failing_fk(df, c, (parents or {})[parent], parent_column)
-        results.append(_count(failing, "relationships", c))
-    severity = F.lit(checks.severity)
-    for check, c in checks.warn:
-        lenient = (F.col("check") == check) & (F.col("column") == c)
-        severity = F.when(lenient, "warn").otherwise(severity)
-    return reduce(DataFrame.unionByName, results).withColumn("severity", severity)
+        value = F.col(parent_column).cast(df.schema[c].dataType)
+        known = (parents or {})[parent].filter(value.isNotNull())
+        found = F.lit(place["relationships", c]).alias("place")
+        parts.append(known.select(found, _same([value]).alias("key"), F.lit(1).alias("of_parent")))
+    counted = reduce(DataFrame.unionByName, parts).groupBy("place", "key").agg(
+        F.count_if(F.col("of_parent") == 0).alias("n"), F.max("of_parent").alias("known")
+    )
+    n, at = F.col("n"), F.col("place")
+    of_keys = [place[name] for name, _ in keys if name[0] != "relationships"]
+    failing = (
+        F.when(at < len(rows), n)
+        .when(at.isin(of_keys), (n > 1).cast("long"))
+        .otherwise(((n > 0) & (F.col("known") == 0)).cast("long"))
+    )
+    failures = counted.groupBy("place").agg(F.sum(failing).alias("failures"))
+    severity = [
+        "warn" if name in [tuple(w) for w in checks.warn] else checks.severity for name in declared
+    ]
+    listed = df.sparkSession.createDataFrame(
+        [(k, *name, level) for k, (name, level) in enumerate(zip(declared, severity, strict=True))],
+        "place int, check string, column string, severity string",
+    )
+    return listed.join(failures, "place", "left").select(
+        "check", "column", F.coalesce("failures", F.lit(0)).alias("failures"), "severity"
+    )
 
 
 class CheckFailure(RuntimeError):

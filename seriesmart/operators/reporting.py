@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,34 +16,33 @@ def _as_list(wanted) -> list:
     return list(wanted) if isinstance(wanted, (list, tuple)) else [wanted]
 
 
-def _series_prefix(where: dict) -> Column | None:
-    """What the series ids of a selection start with, as far as the selection fixes it.
-
-    A series id begins with its dataflow and measure. The prefix repeats part of the selection on
-    the fact itself, where it is pushed into the scan and skips whole row groups of a fact that is
-    clustered by series.
-    """
-    if "source_dataflow" not in where:
-        return None
-    prefixes = [f"{flow}." for flow in _as_list(where["source_dataflow"])]
-    if "measure_code" in where:
-        prefixes = [f"{p}{m}." for p in prefixes for m in _as_list(where["measure_code"])]
-    return reduce(or_, [F.col("series_id").startswith(p) for p in prefixes])
-
-
 def select_facts(fact: DataFrame, series: DataFrame, where: dict) -> DataFrame:
     """Facts of the series whose attributes match, with those attributes.
 
-    ``where`` maps an attribute to a value or a list of values. The join strategy is left to
-    adaptive execution: the selected series usually fit a broadcast, and where they do not, a
-    series with very many facts is split.
+    ``where`` maps an attribute to a value or a list of values. A fact that carries its dataflow is
+    filtered by it, which prunes partitions of a stored fact while it is planned, and joined on it, which
+    prunes them at run time by the dataflows of the selected series. Nothing is assumed of how a series
+    id is spelled. The join strategy is left to adaptive execution: the selected series usually fit a
+    broadcast, and where they do not, a series with very many facts is split.
     """
+    shared = [c for c in ("source_dataflow",) if c in fact.columns]
     for attribute, wanted in where.items():
         series = series.filter(F.col(attribute).isin(_as_list(wanted)))
-    prefix = _series_prefix(where)
-    if prefix is not None:
-        fact = fact.filter(prefix)
-    return fact.join(series, "series_id")
+        if attribute in shared:
+            fact = fact.filter(F.col(attribute).isin(_as_list(wanted)))
+    return fact.join(series, ["series_id", *shared])
+
+
+def slice_facts(fact: DataFrame, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """Facts within a date range, open where None; the years of a partitioned fact are pruned with it."""
+    years = "period_year" in fact.columns
+    if first is not None:
+        fact = fact.filter(F.col("date_key") >= F.lit(first))
+        fact = fact.filter(F.col("period_year") >= first.year) if years else fact
+    if last is not None:
+        fact = fact.filter(F.col("date_key") <= F.lit(last))
+        fact = fact.filter(F.col("period_year") <= last.year) if years else fact
+    return fact
 
 
 def pivot_measures(df: DataFrame, keys: list[str], measures: dict[str, str]) -> DataFrame:

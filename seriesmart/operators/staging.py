@@ -99,8 +99,11 @@ def dedupe(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
 
 
 def deduplicated(typed: DataFrame) -> DataFrame:
-    """One row per series and period; of overlapping extracts the alphabetically first is kept."""
-    return dedupe(typed, ["series_id", "period_date"], ["source_extract"]).select(*STAGED)
+    """One row per series and period; of overlapping extracts the alphabetically first is kept.
+
+    A series id begins with its dataflow, so that is part of the key, and a filter on it passes below.
+    """
+    return dedupe(typed, ["source_dataflow", "series_id", "period_date"], ["source_extract"]).select(*STAGED)
 
 
 def stg_observations(

@@ -51,11 +51,16 @@ def dim_date(observations: DataFrame, date: str = "period_date") -> DataFrame:
 
 
 def day_spine(
-    spark: SparkSession, end: dt.date, start: dt.date = dt.date(1978, 1, 1)
+    spark: SparkSession, end: dt.date | DataFrame, start: dt.date = dt.date(1978, 1, 1)
 ) -> DataFrame:
-    """The reporting calendar: one row per day from ``start`` to ``end``, both included."""
-    days = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
-    calendar = calendar_columns(spark.range(1).select(F.explode(days).alias("date")), "date")
+    """The reporting calendar: one row per day from ``start`` to ``end``, both included.
+
+    ``end`` is a date, or rows whose last ``date`` it is; those are read when the calendar is. Without a
+    date from ``start`` on the calendar has one day.
+    """
+    last = end.agg(F.max("date").alias("last")) if isinstance(end, DataFrame) else spark.range(1).select(F.lit(end).alias("last"))
+    days = F.sequence(F.lit(start), F.greatest("last", F.lit(start)), F.expr("interval 1 day"))
+    calendar = calendar_columns(last.select(F.explode(days).alias("date")), "date")
     return calendar.drop("quarter_number").withColumns(
         {
             "financial_year_sort": financial_year_end(F.col("date")),
@@ -135,12 +140,22 @@ def dim_series(observations: DataFrame, codes: CodeLists) -> DataFrame:
     )
 
 
-def fct_observations(staged: DataFrame) -> DataFrame:
-    """Series, date and value; what the value means is an attribute of the series."""
+#: What the stored fact is partitioned by.
+FACT_PARTITIONS = ["source_dataflow", "period_year"]
+
+
+def fct_observations(staged: DataFrame, partitioned: bool = False) -> DataFrame:
+    """Series, date and value; what the value means is an attribute of the series.
+
+    ``partitioned`` adds the columns that the stored fact is partitioned by, which selections of
+    dataflows and dates are narrowed with.
+    """
+    extra = [F.col("source_dataflow"), F.year("period_date").alias("period_year")]
     return staged.select(
         surrogate_key(F.col("series_id"), F.col("period_date")).alias("series_period_key"),
         "series_id",
         F.col("period_date").alias("date_key"),
         "obs_value",
         "source_extract",
+        *(extra if partitioned else []),
     )

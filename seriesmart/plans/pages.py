@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesmart.functions.numbers import exact_avg, exact_sum
 from seriesmart.operators.semantic import (
     Card,
     Chart,
+    at_latest,
+    auto_agg,
     crosstab,
+    crosstab_with_totals,
     keep,
     page_rows,
     percent_of_total,
     slice_dates,
     to_millions,
     trailing_years,
+    with_totals,
     with_year,
 )
 
@@ -140,6 +146,48 @@ def share_crosstab(ftpt: DataFrame, members: list[str] = SEXES) -> DataFrame:
     return crosstab(with_year(ftpt), "year", "sex_label", members, "fulltime_share_pct")
 
 
+def share_crosstab_totals(ftpt: DataFrame, members: list[str] = SEXES) -> DataFrame:
+    """Average full-time share by year and sex, with the averages of years, sexes and all rows."""
+    share = exact_avg(F.col("fulltime_share_pct"))
+    return crosstab_with_totals(with_year(ftpt), "year", "sex_label", members, share)
+
+
+#: What is shown of each mart under a slicer.
+SLICED = {
+    "national": ["unemployment_rate_pct", "employed_thousands", "unemployment_rate_yoy_change_ppt"],
+    "state": ["unemployment_rate_pct", "employed_thousands", "employed_yoy_change_pct"],
+    "ftpt": ["fulltime_share_pct", "employed_total_thousands", "fulltime_share_yoy_change_ppt"],
+    "industry": ["employed_thousands", "employed_yoy_change_pct"],
+}
+
+
+def sliced_totals(marts: dict[str, DataFrame]) -> DataFrame:
+    """(mart, measure, value) over the rows that are left of each mart, averaged or summed by name."""
+    parts = [
+        auto_agg(mart, [], SLICED[name]).unpivot([], SLICED[name], "measure", "value").withColumn("mart", F.lit(name))
+        for name, mart in marts.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def state_totals(state: DataFrame) -> DataFrame:
+    """Measures of region and year with all totals, each evaluated in its own cell or total.
+
+    Averages are over all rows, the level and the rate are those of the last date there is, the greatest of
+    several regions, as the report's measures are; the rate by employment weighs each row.
+    """
+    weighted = F.col("unemployment_rate_pct") * F.col("employed_thousands")
+    rows = with_year(state).withColumn("weighted", weighted)
+    measures = {
+        "average_rate": exact_avg(F.col("unemployment_rate_pct")),
+        "latest_rate": at_latest("unemployment_rate_pct"),
+        "latest_employed": at_latest("employed_thousands"),
+        "n_rows": F.count("*"),
+        "rate_by_employment": exact_sum(F.col("weighted")) / F.nullif(exact_sum(F.col("employed_thousands")), F.lit(0.0)),
+    }
+    return with_totals(rows, ["region_name", "year"], measures)
+
+
 def ftpt_by_sex(ftpt: DataFrame, years: int = 15) -> DataFrame:
     """Full-time and part-time employment of each sex in millions, over the last years."""
     recent = keep(trailing_years(ftpt, years), "sex_label", ["Male", "Female"])

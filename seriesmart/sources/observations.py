@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,11 +28,13 @@ class MissingExtract(FileNotFoundError):
     """An extract was asked for that has no file."""
 
 
-def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv_strings(
+    spark: SparkSession, path: str, multi_line: bool = False, files: list[str] | None = None
+) -> DataFrame:
     """A CSV file or folder with a header, every column a string.
 
-    The part files of a folder share one header. Leave ``multi_line`` off unless cells hold line
-    breaks: it makes a file unsplittable.
+    The part files, or the ``files`` of the folder that are named, share one header. Leave ``multi_line``
+    off unless cells hold line breaks: it makes a file unsplittable.
     """
     reader = (
         spark.read.option("header", True)
@@ -39,9 +43,50 @@ def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = False) -
         .option("multiLine", multi_line)
         # Every part file must have this header in this order, every row as many fields.
         .option("enforceSchema", False)
+        # Else the width of a row is not seen where not all of its columns are read.
+        .option("columnPruning", False)
         .option("mode", "FAILFAST")
     )
-    return reader.csv(path)
+    return reader.csv(files or path)
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file in any store that Spark reads, decompressed as Spark would."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        text = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files below ``path`` by their header; files without any line are left out.
+
+    Spark lists the files; of each only the beginning is read, many at a time.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    found: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(16) as readers:
+        for file, header in zip(files, readers.map(lambda f: first_line(spark, f), files)):
+            if header is not None:
+                found.setdefault(header.removeprefix("\ufeff"), []).append(file)
+    return found
+
+
+def csv_parts(spark: SparkSession, path: str, multi_line: bool = False) -> list[DataFrame]:
+    """A file or folder as one frame for each distinct header, since files may order columns their own way.
+
+    Within a frame headers and row widths are enforced. The columns are as the files name them; whoever
+    appends the frames selects by name.
+    """
+    found = files_by_header(spark, path)
+    if len(found) < 2:
+        return [read_csv_strings(spark, path, multi_line)]
+    return [read_csv_strings(spark, path, multi_line, [unquote(f) for f in files]) for files in found.values()]
 
 
 def null_tokens(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -112,15 +157,19 @@ def required_columns(dataflow: str) -> list[str]:
 def read_extract(
     spark: SparkSession, directory: str, extract: Extract, multi_line: bool = False
 ) -> DataFrame:
-    """``<directory>/<name>.csv``, a file or a folder of part files, as raw rows."""
+    """``<directory>/<name>.csv``, a file or a folder of part files, as raw rows.
+
+    Columns are taken by name from each file, whatever their order; a wanted one that a file lacks is an error.
+    """
     path = f"{directory}/{extract.name}.csv"
     try:
-        text = read_csv_strings(spark, path, multi_line)
+        parts = csv_parts(spark, path, multi_line)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise MissingExtract(f"{path} not found") from error
-    return typed_extract(text, extract.name, raw_schema(extract.dataflow))
+    schema = raw_schema(extract.dataflow)
+    return append_extracts(typed_extract(part, extract.name, schema) for part in parts)
 
 
 def read_observations(
@@ -190,21 +239,34 @@ def slice_from_year(df: DataFrame, year: int, period: str = "time_period") -> Da
     return df.filter(~monthly | (F.substring(F.col(period), 1, 4).cast("int") >= year))
 
 
-def ingest_report(df: DataFrame, extracts: Iterable[Extract] = EXTRACTS) -> DataFrame:
+#: Members that a failure names of each dimension; how many there are is counted in full.
+NAMED_MEMBERS = 40
+
+
+def ingest_report(
+    df: DataFrame,
+    extracts: Iterable[Extract] = EXTRACTS,
+    codes: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """Per extract: rows landed, status ok, failed (no rows) or incomplete, and what is missing.
 
-    One pass over the appended rows, grouped by extract; hot extracts are combined map-side.
+    An incomplete dimension names the members it has. ``codes`` gives the members a dimension should
+    have, as a code list whose first column is the code; those that are missing are named as well.
+    One pass over the appended rows, grouped by extract; hot extracts are combined map-side, and
+    members are distinct before they are listed.
     """
     extracts = list(extracts)
     spark = df.sparkSession
     dimensions = sorted({c for e in extracts for c, _ in e.expect})
     landed = df.groupBy("source_extract").agg(F.count(F.lit(1)).alias("rows_landed"))
     if dimensions:
+        order = Window.partitionBy("source_extract", "dimension").orderBy("member")
+        named = F.when(F.row_number().over(order) <= NAMED_MEMBERS, F.col("member"))
+        found = members_found(df, dimensions, by="source_extract").withColumn("named", named)
         members = (
-            members_found(df, dimensions, by="source_extract")
-            .groupBy("source_extract")
+            found.groupBy("source_extract")
             .pivot("dimension", dimensions)
-            .agg(F.count(F.lit(1)))
+            .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("named")).alias("members"))
         )
         landed = landed.join(members, "source_extract", "left")
     asked = spark.createDataFrame(
@@ -215,9 +277,18 @@ def ingest_report(df: DataFrame, extracts: Iterable[Extract] = EXTRACTS) -> Data
     rows = F.coalesce(F.col("rows_landed"), F.lit(0))
     gaps = []
     for c in dimensions:
-        expected, found = F.col(f"expected_{c}"), F.coalesce(F.col(c), F.lit(0))
-        text = F.concat(F.lit("expected "), expected, F.lit(f" distinct {c}, got "), found)
-        gaps.append(F.when((rows > 0) & (expected != found), text))
+        expected, found = F.col(f"expected_{c}"), F.coalesce(F.col(f"{c}_n"), F.lit(0))
+        have = F.coalesce(F.col(f"{c}_members"), F.array().cast("array<string>"))
+        more = F.when(found > NAMED_MEMBERS, ", ...").otherwise("")
+        text = [F.lit("expected "), expected, F.lit(f" distinct {c}, got "), found, F.lit(": "), F.array_join(have, ", "), more]
+        if codes and c in codes:
+            listed = codes[c].select(F.col(codes[c].columns[0]).cast("string").alias("code"))
+            wanted = listed.agg(F.array_sort(F.collect_set("code"))).scalar()
+            missing = F.array_join(F.array_except(wanted, have), ", ")
+            # With more members than are named, what is missing from the names may be there.
+            known = (F.size(wanted) == expected) & (found <= NAMED_MEMBERS) & (missing != "")
+            text.append(F.when(known, F.concat(F.lit("; missing "), missing)).otherwise(""))
+        gaps.append(F.when((rows > 0) & (expected != found), F.concat(*text)))
     detail = F.nullif(F.concat_ws("; ", *gaps), F.lit("")) if gaps else F.lit(None).cast("string")
     status = F.when(rows == 0, "failed").when(detail.isNotNull(), "incomplete").otherwise("ok")
     return report.select(

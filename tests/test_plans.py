@@ -8,10 +8,6 @@ import pytest
 from conftest import SF_SMALL
 
 from seriesmart.catalog import QUERIES
-from seriesmart.operators.staging import deduplicated, typed_observations
-from seriesmart.operators.star import dim_series, fct_observations
-from seriesmart.plans.marts import industry_breakdown, national_overview
-from seriesmart.sources import orders as B
 
 
 def scans_that_ran(df) -> set[str]:
@@ -45,19 +41,3 @@ def test_scans_read_only_what_they_need(spark):
     plan = QUERIES["mart_national"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     schemas = set(re.findall(r"ReadSchema: struct<(.*?)>", plan))
     assert schemas == {"o_orderstatus:string,o_orderdate:timestamp_ntz,o_orderpriority:string"}
-
-
-def test_marts_of_a_stored_star_skip_by_series_prefix(spark, scratch):
-    """The fact scan reads three columns and only what begins with a selected flow and measure."""
-    lf, account = B.lf_observations(spark, SF_SMALL), B.account_observations(spark, SF_SMALL)
-    typed = typed_observations(lf, account)
-    fct_observations(deduplicated(typed)).write.parquet(f"{scratch}/fact")
-    dim_series(typed, B.code_lists(spark, SF_SMALL)).write.parquet(f"{scratch}/series")
-    fact, series = (spark.read.parquet(f"{scratch}/{name}") for name in ("fact", "series"))
-    for mart, prefix in (
-        (national_overview, "LF.M3."),
-        (industry_breakdown, "ABS_LABOUR_ACCT.M9."),
-    ):
-        plan = mart(fact, series)._jdf.queryExecution().executedPlan().toString()
-        assert f"StringStartsWith(series_id,{prefix})" in plan
-        assert "ReadSchema: struct<series_id:string,date_key:date,obs_value:double>" in plan

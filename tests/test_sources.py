@@ -92,7 +92,7 @@ def test_ingest_report_and_failure_at_the_end(spark, raw_dir):
         "national_summary": "ok", "national_fulltime_parttime": "ok",
         "state_summary": "incomplete", "national_trend": "failed",
     }
-    with pytest.raises(RuntimeError, match=r"national_trend: failed; state_summary: incomplete \(expected 8 distinct region, got 7\)"):
+    with pytest.raises(RuntimeError, match=r"national_trend: failed; state_summary: incomplete \(expected 8 distinct region, got 7: 1, 2, 3, 4, 5, 6, 7\)"):
         O.raise_on_problems(report)
 
 
