@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesmart.operators import quality as Q
 from seriesmart.operators.staging import deduplicated, typed_observations
-from seriesmart.operators.star import dim_date, dim_series, fct_observations
+from seriesmart.operators.star import FACT_PARTITIONS, dim_date, dim_series, fct_observations
 from seriesmart.plans.checks import CHECKS
 from seriesmart.plans.marts import STATES, Marts, build_marts
 from seriesmart.schemas import (
@@ -20,7 +20,8 @@ from seriesmart.schemas import (
     MART_CONTRACT,
     Extract,
 )
-from seriesmart.sinks import ensure_schemas, export_marts, overwrite_table, require_shared_warehouse
+from seriesmart.plans.views import mart_sql, staging_sql
+from seriesmart.sinks import define_view, ensure_schemas, export_marts, overwrite_table, require_shared_warehouse
 from seriesmart.sources.codelists import SEED_ROWS, CodeLists, load_seed
 from seriesmart.sources.observations import (
     ingest_report,
@@ -29,6 +30,9 @@ from seriesmart.sources.observations import (
     required_columns,
 )
 
+#: The order of the stored fact within a partition.
+FACT_CLUSTERING = ["series_id", "date_key"]
+
 RAW_TABLES = {
     LABOUR_FORCE: "lf_observations",
     LABOUR_ACCOUNT: "labour_account_observations",
@@ -41,11 +45,12 @@ class Config:
 
     Raw and core tables are always written. ``write_all`` also writes staging and marts under their
     schema, so that checks, marts and report queries read them instead of deriving them again;
-    without it those two layers are views, derived whenever they are read.
+    without it those two layers are views of the catalog, derived whenever a session reads them.
     """
 
     raw_dir: str
     extracts: tuple[Extract, ...] = EXTRACTS
+    #: Regions of a month; where it is the number of states, every month and state must have a row.
     members: int = 8
     write_all: bool = True
     export_dir: str | None = None
@@ -72,14 +77,24 @@ def land(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
         rows = read_observations(spark, cfg.raw_dir, dataflow, cfg.extracts)
         raw[dataflow] = overwrite_table(rows, f"raw.{table}", required_columns(dataflow))
     for dataflow, df in raw.items():
-        raise_on_problems(ingest_report(df, [e for e in cfg.extracts if e.dataflow == dataflow]))
+        asked = [e for e in cfg.extracts if e.dataflow == dataflow]
+        raise_on_problems(ingest_report(df, asked, {"region": _states(spark)}))
     return raw
 
 
-def _publish(df: DataFrame, schema: str, name: str, cfg: Config) -> DataFrame:
-    """Make a layer readable by name, as a table where the configuration says so."""
-    if cfg.write_all:
-        df = overwrite_table(df, f"{schema}.{name}")
+STATE_CODES = [code for code, _, level in SEED_ROWS["seed_region"] if level != "National"]
+
+
+def _states(spark: SparkSession) -> DataFrame:
+    """The regions that every month of the state mart must have."""
+    return load_seed(spark, "seed_region").filter(F.col("region_code").isin(STATE_CODES))
+
+
+def _publish(df: DataFrame, schema: str, name: str, cfg: Config, sql: str) -> DataFrame:
+    """Make a layer readable by name: a table where the configuration says so, else a lasting view."""
+    spark = df.sparkSession
+    full = f"{schema}.{name}"
+    df = overwrite_table(df, full) if cfg.write_all else define_view(spark, full, sql)
     df.createOrReplaceTempView(name)
     return df
 
@@ -118,7 +133,10 @@ def build(spark: SparkSession, cfg: Config, codes: CodeLists | None = None) -> B
     _singular(result, "overlapping_extracts_agree", Q.overlapping_extracts(lf))
 
     typed = typed_observations(lf, account)
-    staged = result.staged = _publish(deduplicated(typed), "staging", "stg_labour_force", cfg)
+    tables = [f"raw.{RAW_TABLES[flow]}" for flow in (LABOUR_FORCE, LABOUR_ACCOUNT)]
+    staged = result.staged = _publish(
+        deduplicated(typed), "staging", "stg_labour_force", cfg, staging_sql(*tables)
+    )
     _pass(result, "stg_labour_force", staged, seeds)
 
     observed = staged if cfg.write_all else typed
@@ -133,14 +151,18 @@ def build(spark: SparkSession, cfg: Config, codes: CodeLists | None = None) -> B
         Q.failing_mixed_basis(Q.comparison_series(result.series, STATES)),
     )
     result.fact = overwrite_table(
-        fct_observations(staged), "core.fct_labour_force", cluster_by=["series_id", "date_key"]
+        fct_observations(staged, partitioned=True),
+        "core.fct_labour_force",
+        cluster_by=FACT_CLUSTERING,
+        partition_by=FACT_PARTITIONS,
     )
     parents = {**seeds, "dim_series": result.series, "dim_date": result.dates}
     _pass(result, "fct_labour_force", result.fact, parents)
 
     marts = build_marts(result.fact, result.series).by_name()
+    texts = mart_sql("core.fct_labour_force", "core.dim_series")
     for name, df in marts.items():
-        marts[name] = _publish(df, "mart", name, cfg)
+        marts[name] = _publish(df, "mart", name, cfg, texts[name])
         _pass(result, name, marts[name], parents)
     result.marts = Marts.of_names(marts)
     _singular(
@@ -148,12 +170,15 @@ def build(spark: SparkSession, cfg: Config, codes: CodeLists | None = None) -> B
         "all_members_present",
         Q.failing_coverage(result.marts.state, "date", "region_code", cfg.members),
     )
-    contract = Q.check_contract(
-        spark,
-        {name: schema.fieldNames() for name, schema in MART_CONTRACT.items()},
-        {name: df.columns for name, df in result.marts.by_name().items()},
+    if cfg.members == len(STATE_CODES):
+        states = _states(spark)
+        missing = Q.missing_members(result.marts.state, "date", "region_code", states, "region_code")
+        _singular(result, "no_missing_cell", missing)
+    # Names, positions and types of every column.
+    differing = Q.check_fields(
+        spark, MART_CONTRACT, {name: df.schema for name, df in result.marts.by_name().items()}
     )
-    _singular(result, "mart_contract", contract.filter(F.col("status") != "ok"))
+    _singular(result, "mart_contract", differing)
 
     if cfg.export_dir:
         result.exports = export_marts(result.marts.by_name(), cfg.export_dir)

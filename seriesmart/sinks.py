@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -49,25 +50,111 @@ def reject_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+#: The property of a table's view that names the version it shows.
+VERSION = "seriesmart.version"
+
+
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The stored table that ``name`` shows; None where nothing has been published under it."""
+    if not spark.catalog.tableExists(name):
+        return None
+    shown = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return shown.get(VERSION)
+
+
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """All stored versions of a table, those of failed or interrupted refreshes too."""
+    schema, table = name.split(".")
+    found = [r.tableName for r in spark.sql(f"SHOW TABLES IN {schema} LIKE '{table}__*'").collect()]
+    return [f"{schema}.{t}" for t in found if re.fullmatch(re.escape(table) + "__[0-9a-f]{12}", t)]
+
+
+def drop_versions(spark: SparkSession, name: str) -> None:
+    """Remove every stored version but the one that ``name`` shows."""
+    kept = current_version(spark, name)
+    for version in versions(spark, name):
+        if version != kept:
+            spark.sql(f"DROP TABLE IF EXISTS {version}")
+
+
+def publish_version(spark: SparkSession, name: str, version: str) -> None:
+    """Let ``name`` show a version: one change of the catalog, so a reader sees the old or the new rows."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{version}') AS SELECT * FROM {version}")
+
+
 def overwrite_table(
-    df: DataFrame, name: str, required: list[str] = (), cluster_by: list[str] = ()
+    df: DataFrame,
+    name: str,
+    required: list[str] = (),
+    cluster_by: list[str] = (),
+    partition_by: list[str] = (),
 ) -> DataFrame:
     """Full refresh of a table; returns the table as written.
 
-    The rows are written to a new table that takes the name once it is complete, so a write that fails
-    leaves the old table as it was.
+    ``name`` is a view of a stored version. The rows are written to a new version, which the view shows
+    once it is complete; then all others are removed. A refresh that fails or is cut off leaves the old
+    rows under the name, and what it has stored goes with its error or with the next refresh. Only one
+    refresh of a table may run at a time; a reader that started before it may find its files gone.
 
     ``cluster_by`` ranges the rows over the files by these columns, so that a filter on their
-    prefix skips files and row groups.
+    prefix skips files and row groups. ``partition_by`` gives each value of these a folder.
     """
+    spark, fresh = df.sparkSession, f"{name}__{uuid.uuid4().hex[:12]}"
     if required:
         df = reject_nulls(df, list(required))
-    if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    spark, fresh = df.sparkSession, f"{name}__{uuid.uuid4().hex[:12]}"
-    df.write.format("parquet").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    _replace_plain_table(spark, name)
+    try:
+        _arranged(df, cluster_by, partition_by).write.partitionBy(*partition_by).format("parquet").saveAsTable(fresh)
+        publish_version(spark, name, fresh)
+    finally:
+        drop_versions(spark, name)
+    return spark.table(name)
+
+
+def _arranged(df: DataFrame, cluster_by: list[str], partition_by: list[str]) -> DataFrame:
+    order = [*partition_by, *cluster_by]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order) if cluster_by else df
+
+
+def _replace_plain_table(spark: SparkSession, name: str) -> None:
+    """A table that stands under the name itself becomes a version that the name shows."""
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType == "VIEW":
+        return
+    version = f"{name}__{uuid.uuid4().hex[:12]}"
+    spark.sql(f"ALTER TABLE {name} RENAME TO {version}")
+    publish_version(spark, name, version)
+
+
+def overwrite_partitions(
+    df: DataFrame, name: str, cluster_by: list[str] = (), partition_by: list[str] = ()
+) -> DataFrame:
+    """Refresh only the partitions that ``df`` has rows of; the others stay as they are.
+
+    Meant for a late or revised period. Partitions are replaced once all of their files are written,
+    one after the other. Without a stored version this is a full refresh.
+    """
+    spark = df.sparkSession
+    version = current_version(spark, name)
+    if version is None:
+        return overwrite_table(df, name, cluster_by=cluster_by, partition_by=partition_by)
+    rows = _arranged(df, cluster_by, partition_by).select(*spark.table(version).columns)
+    # `insertInto` takes the mode from the session alone.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.insertInto(version, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    return spark.table(name)
+
+
+def define_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """A view that lasts: its SQL is kept in the catalog, where every session finds it."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    drop_versions(spark, name)
     return spark.table(name)
 
 
