@@ -20,6 +20,7 @@ _BLANK = r"\n " + _OTHER_BLANK
 _RARE = re.compile(f"[{_OTHER_BLANK}]")
 _COARSE = re.compile(rf" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
 _HEAD, _SPACED = 0, 1
+_SIGNS = ".,;:!?%&$*#@|~^+=<>/\\()[]{}\"'`_-"
 
 
 def _plain(text: str) -> bool:
@@ -89,12 +90,27 @@ class UnitCache:
         return np.frombuffer(b"".join(parts), np.int32), counts
 
     def _learn(self, gaps: list[tuple[list, int, list[tuple[int, str]]]]) -> list[dict[str, bytes]]:
-        """Ids of all units in the gaps, by kind; the shorter units are remembered."""
-        fresh = [list({u for _, k, places in gaps if k == kind for _, u in places}) for kind in (_HEAD, _SPACED)]
-        ids = iter(self.encode([*fresh[_HEAD], *[" " + u for u in fresh[_SPACED]]]))
-        tables = [dict(zip(words, ids)) for words in fresh]
-        for known, new in zip(self.known, tables, strict=True):
-            known.update((u, c) for u, c in new.items() if len(u) <= self.longest)
+        """Ids of all units in the gaps, by kind; the shorter units are remembered.
+
+        Signs after a letter or digit are a match of their own, so a word is encoded once whatever follows it.
+        """
+        fresh = [{u for _, k, places in gaps if k == kind for _, u in places} for kind in (_HEAD, _SPACED)]
+        signed: list[list[tuple[str, str, str]]] = [[], []]
+        for kind, units in enumerate(fresh):
+            for u in units:
+                word = u.rstrip(_SIGNS)
+                if word is not u and word[-1:].isalnum() and not any(w in u for w in self.whole):
+                    signed[kind].append((u, word, u[len(word) :]))
+        heads, spaced = self.known
+        wanted = [fresh[k].difference(u for u, _, _ in signed[k]).union(w for _, w, _ in signed[k]) for k in (0, 1)]
+        wanted[_HEAD].update(signs for words in signed for _, _, signs in words)
+        wanted = [[u for u in wanted[_HEAD] if u not in heads], [u for u in wanted[_SPACED] if u not in spaced]]
+        ids = iter(self.encode([*wanted[_HEAD], *[" " + u for u in wanted[_SPACED]]]))
+        tables = [dict(zip(units, ids)) for units in wanted]
+        signs_of = {**tables[_HEAD], **{s: heads[s] for words in signed for _, _, s in words if s in heads}}
+        for known, table, words in zip(self.known, tables, signed, strict=True):
+            table.update([(u, (table.get(w) or known[w]) + signs_of[s]) for u, w, s in words])
+            known.update([(u, c) for u, c in table.items() if len(u) <= self.longest])
         return tables
 
 
