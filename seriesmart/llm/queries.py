@@ -215,16 +215,16 @@ def op2_topk(spark: SparkSession, d: str) -> DataFrame:
 
 ORACLES["op2_topk"] = """
 WITH usable AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
     FROM embeddings
     WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding,
         lambda x: x IS NULL OR NOT isfinite(x)))
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+    SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.r <> c.r
 ), ranked AS (
     SELECT query_id, vec_id, score,
-        row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+        row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank
     FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10

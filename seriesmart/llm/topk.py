@@ -23,8 +23,10 @@ from seriesmart.llm.common import map_arrow, ship, stored
 
 SCALE = 1024
 K = 10
-#: Pivots of each dimension: the rows with the smallest hashes of their id, at most so many.
+#: Pivots of a dimension: the rows with the smallest hashes of their id, at most so many.
 PIVOTS = 64
+#: Dimensions that have pivots, those of the most vectors; others are bounded by their norms alone.
+PIVOT_DIMENSIONS = 8
 #: Rows of a block of queries and of candidates.
 QUERY_BLOCK = 256
 CANDIDATE_BLOCK = 8192
@@ -32,7 +34,7 @@ CANDIDATE_BLOCK = 8192
 STEP = 256
 EXACT = 2.0**53
 
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query long, query_id long, vec_id long, score long"
 
 
 def quantized(df: DataFrame, vec_id: str, vector: str, scale: int = SCALE) -> DataFrame:
@@ -45,8 +47,7 @@ def quantized(df: DataFrame, vec_id: str, vector: str, scale: int = SCALE) -> Da
         doubles,
         lambda x: F.when(F.abs(x) < 2.0**43, F.floor(x * scale).cast("double")).otherwise(x * scale),
     )
-    rows = usable.select(F.col(vec_id).cast("long").alias("vec_id"), whole.alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return usable.select(F.col(vec_id).cast("long").alias("vec_id"), whole.alias("v"))
 
 
 def _matrix(column: pa.Array, rows: int, width: int) -> np.ndarray:
@@ -75,14 +76,17 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 
 def search_block(
-    q_ids: np.ndarray, q: np.ndarray, q_at: np.ndarray, ids: np.ndarray, v: np.ndarray, at: np.ndarray,
-    pivot_ids: np.ndarray, pivots: np.ndarray, k: int,
+    q_rows: np.ndarray, q: np.ndarray, q_at: np.ndarray, rows: np.ndarray, ids: np.ndarray, v: np.ndarray,
+    at: np.ndarray, pivot_rows: np.ndarray, pivots: np.ndarray, k: int,
 ) -> tuple[list[tuple[int, int, int]], int]:
-    """Best k of the candidates for each query, and how many candidates were evaluated."""
+    """(query, vec_id, score) of the best k candidates for each query, and how many were evaluated.
+
+    Rows are told apart by their numbers, since an id may be that of several.
+    """
     found, evaluated = [], 0
     norms = (v * v).sum(1)
-    for i in range(len(q_ids)):
-        others = pivot_ids != q_ids[i]
+    for i in range(len(q_rows)):
+        others = pivot_rows != q_rows[i]
         seed = _scores(q[i], pivots[others])
         start = np.sort(seed)[-k] if len(seed) >= k else None
         lower = np.zeros(len(ids))
@@ -92,7 +96,7 @@ def search_block(
         # Room for rounding: bounds may be a little high, never low.
         room = 1 + 1e-9 * (q_norm + norms) + 1e-6 * lower
         bound = (q_norm + norms - np.maximum(lower - 1e-7 * (lower + np.sqrt(q_norm)), 0) ** 2) / 2 + room
-        bound[ids == q_ids[i]] = -np.inf
+        bound[rows == q_rows[i]] = -np.inf
         order = np.argsort(-bound, kind="stable")
         scores, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for a in range(0, len(order), STEP):
@@ -107,7 +111,7 @@ def search_block(
             scores, best = _best(
                 np.concatenate([scores, _scores(q[i], v[part])]), np.concatenate([best, ids[part]]), k
             )
-        found += [(int(q_ids[i]), int(b), int(s)) for s, b in zip(scores, best, strict=True)]
+        found += [(i, int(b), int(s)) for s, b in zip(scores, best, strict=True)]
     return found, evaluated
 
 
@@ -123,31 +127,37 @@ def top_k(
     """(query_id, rank, vec_id, score) of the k best candidates of every query, exactly.
 
     Queries are the rows whose id is divisible by `every`, candidates all rows with another id. Vectors
-    that are null or hold a null or non-finite component take no part, nor do rows without an id. An id is
-    a key: of rows that repeat it the least vector takes part. Vectors of different lengths are not
-    compared, an empty vector scores 0 with empty ones. Ties go to the smaller id. Fewer than k
+    that are null or hold a null or non-finite component take no part, nor do rows without an id. Rows that
+    repeat an id are queries and candidates of their own, for each other too. Vectors of different lengths
+    are not compared, an empty vector scores 0 with empty ones. Ties go to the smaller id. Fewer than k
     candidates give fewer rows; an empty table gives none. A product beyond 64 bits fails.
     """
     ship(spark)
-    rows = stored(spark, quantized(df, vec_id, vector, scale).withColumn("dim", F.size("v")), "vectors")
-    turn = Window.partitionBy("dim").orderBy(F.xxhash64("vec_id"), "vec_id")
-    chosen = rows.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= PIVOTS)
+    numbered = quantized(df, vec_id, vector, scale).select("*", F.size("v").alias("dim"), F.monotonically_increasing_id().alias("row"))
+    rows = stored(spark, numbered, "vectors")
+    often = rows.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(PIVOT_DIMENSIONS)
+    turn = Window.partitionBy("dim").orderBy(F.xxhash64("vec_id", "row"), "vec_id")
+    chosen = rows.join(often.select("dim"), "dim", "left_semi").withColumn("turn", F.row_number().over(turn))
+    chosen = chosen.filter(F.col("turn") <= PIVOTS)
     pivots: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     found: dict[int, list] = {}
-    for row in chosen.select("dim", "vec_id", "v").collect():
-        found.setdefault(row.dim, []).append((row.vec_id, row.v))
+    for r in chosen.select("dim", "row", "v").collect():
+        found.setdefault(r.dim, []).append((r.row, r.v))
     for dim, own in found.items():
-        ids = np.array([i for i, _ in own], np.int64)
-        pivots[dim] = ids, np.array([v for _, v in own], np.float64).reshape(len(own), dim)
+        numbers = np.array([i for i, _ in own], np.int64)
+        pivots[dim] = numbers, np.array([v for _, v in own], np.float64).reshape(len(own), dim)
     shared = spark.sparkContext.broadcast(pivots)
 
+    def pivots_of(dim: int) -> tuple[np.ndarray, np.ndarray]:
+        return shared.value.get(dim, (np.zeros(0, np.int64), np.zeros((0, dim))))
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["vec_id", "v", "dim"]
+        names = ["row", "vec_id", "v", "dim"]
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                own = shared.value[int(dim)][1]
+                own = pivots_of(int(dim))[1]
                 at = _distances(_matrix(part.column("v"), part.num_rows, int(dim)), own)
                 offsets = np.arange(len(at) + 1, dtype=np.int32) * at.shape[1]
                 listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(at.ravel()))
@@ -155,8 +165,8 @@ def top_k(
                     [*[part.column(n) for n in names], listed], names=[*names, "at"]
                 )
 
-    schema = "vec_id long, v array<double>, dim int, at array<double>"
-    measured = stored(spark, map_arrow(rows.select("vec_id", "v", "dim"), measure, schema), "pivot-table")
+    schema = "row long, vec_id long, v array<double>, dim int, at array<double>"
+    measured = stored(spark, map_arrow(rows.select("row", "vec_id", "v", "dim"), measure, schema), "pivot-table")
     sizes = measured.groupBy("dim").agg(
         F.count("*").alias("n"), F.sum((F.col("vec_id") % every == 0).cast("long")).alias("q")
     )
@@ -165,40 +175,42 @@ def top_k(
         F.ceil(F.col("n") / CANDIDATE_BLOCK).cast("int").alias("c_blocks"),
         F.ceil(F.greatest("q", F.lit(1)) / QUERY_BLOCK).cast("int").alias("q_blocks"),
     )
-    dealt = measured.join(F.broadcast(blocks), F.col("dim") == F.col("d"))
-    draw = F.xxhash64("vec_id", F.lit(1))
+    dealt = measured.join(blocks, F.col("dim") == F.col("d"))
+    draw = F.xxhash64("row", F.lit(1))
 
     def spread(own: str, other: str):
         return F.explode(F.sequence(F.lit(0), F.col(other) - 1)), F.pmod(draw, F.col(own)).cast("int")
 
     each_c, own_q = spread("q_blocks", "c_blocks")
     queries = dealt.filter(F.col("vec_id") % every == 0).select(
-        "dim", own_q.alias("qb"), each_c.alias("cb"), "vec_id", "v", "at"
+        "dim", own_q.alias("qb"), each_c.alias("cb"), "row", "vec_id", "v", "at"
     )
     each_q, own_c = spread("c_blocks", "q_blocks")
     candidates = dealt.select(
-        F.col("dim").alias("c_dim"), each_q.alias("c_qb"), own_c.alias("c_cb"), F.col("vec_id").alias("c_id"),
-        F.col("v").alias("c_v"), F.col("at").alias("c_at"),
+        F.col("dim").alias("c_dim"), each_q.alias("c_qb"), own_c.alias("c_cb"), F.col("row").alias("c_row"),
+        F.col("vec_id").alias("c_id"), F.col("v").alias("c_v"), F.col("at").alias("c_at"),
     )
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         rows_found: list[tuple[int, int, int]] = []
+        own = ids = np.zeros(0, np.int64)
         if left.num_rows and right.num_rows:
-            ids, own = shared.value[dim := left.column("dim")[0].as_py()]
+            numbers, pivots = pivots_of(dim := left.column("dim")[0].as_py())
 
             def parts(t: pa.Table):
-                names, v, at = (t.column(c).combine_chunks() for c in range(3, 6))
+                own, names, v, at = (t.column(c).combine_chunks() for c in range(3, 7))
                 n = t.num_rows
-                return names.to_numpy(), _matrix(v, n, dim), _matrix(at, n, len(ids))
+                return own.to_numpy(), names.to_numpy(), _matrix(v, n, dim), _matrix(at, n, len(numbers))
 
-            rows_found, _ = search_block(*parts(left), *parts(right), ids, own, k)
-        columns = list(zip(*rows_found, strict=True)) or [(), (), ()]
-        names = ["query_id", "vec_id", "score"]
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)})
+            own, ids, q, q_at = parts(left)
+            rows_found, _ = search_block(own, q, q_at, *parts(right), numbers, pivots, k)
+        at, best, score = (np.array(c, np.int64) for c in (list(zip(*rows_found, strict=True)) or [(), (), ()]))
+        names = ["query", "query_id", "vec_id", "score"]
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, (own[at], ids[at], best, score), strict=True)})
 
     keys = ["dim", "qb", "cb"]
     both = queries.groupBy(*keys).cogroup(candidates.groupBy(*[f"c_{c}" for c in keys]))
     grouped = both.applyInArrow(search, _FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     ranked = grouped.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

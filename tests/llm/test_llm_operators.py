@@ -284,17 +284,34 @@ def test_topk_against_brute_force(spark):
     v[7] = v[9]
     rows = [(i, [float(x) for x in x8], "z") for i, x8 in v.items()]
     rows += [(500, None, "z"), (600, [float("nan")] * 8, "z"), (700, [1.0, None], "z"), (None, [1.0] * 8, "z")]
-    df = spark.createDataFrame([*rows, rows[0]], "vec_id long, embedding array<float>, rank string")
-    found = [tuple(r) for r in topk.top_k(spark, df).orderBy("query_id", "rank").collect()]
-    q = {i: np.floor(1024 * x.astype(float)).astype(int) for i, x in v.items()}
+    rows += [(i, rows[j][1], "z") for i, j in ((0, 0), (100, 9), (5, 250))]  # ids of several rows, one as a whole
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
+    found = sorted(tuple(r) for r in topk.top_k(spark, df).collect())
+    usable = [(i, np.floor(1024 * np.array(x, np.float32).astype(float)).astype(int)) for i, x, _ in rows
+              if i is not None and x is not None and all(c is not None and np.isfinite(c) for c in x)]
     expected = []
-    for i in (0, 100, 200):
-        best = sorted(((-int(q[i] @ q[j]), j) for j in q if j != i))[:10]
-        expected += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
-    assert found == expected
+    for at, (i, a) in enumerate(usable):
+        if i % 100 == 0:
+            best = sorted((-int(a @ b), j) for k, (j, b) in enumerate(usable) if k != at and len(b) == len(a))[:10]
+            expected += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    assert found == sorted(expected) and len([r for r in found if r[0] == 0]) == 20
     assert topk.top_k(spark, df.limit(0)).count() == 0
 
 
+def test_topk_of_many_lengths(spark):
+    """Dimensions without pivots are searched by norms alone, as exactly."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=1 + i % 23)]) for i in range(0, 2300, 10)]
+    found = topk.top_k(spark, spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=3).collect()
+    whole = {i: np.floor(1024 * np.array(x)).astype(int) for i, x in rows}
+    expected = []
+    for i in whole:
+        if i % 100 == 0:
+            best = sorted((-int(whole[i] @ v), j) for j, v in whole.items() if j != i and len(v) == len(whole[i]))[:3]
+            expected += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
 def test_fingerprints(spark, docs, none):
     rows = fingerprint.with_fingerprint(docs, F.col("text"), "fingerprint").collect()
     by = {r.doc_id: r.fingerprint for r in rows}
