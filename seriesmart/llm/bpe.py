@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from seriesmart.llm.common import add_columns, map_arrow, texts_of
+from seriesmart.llm.common import add_columns, held, map_arrow, texts_of
 from seriesmart.llm.pieces import UnitCache, id_lists
 
 LONG_WORD = 512
@@ -203,14 +203,9 @@ class Bpe:
         return [b"".join(p) for p in parts]
 
 
-_LOADED: dict[tuple[str, str], Bpe] = {}
-
-
 def _bpe(ranks_path: str, pattern: str) -> Bpe:
-    """One per worker process, kept over its tasks."""
-    if (ranks_path, pattern) not in _LOADED:
-        _LOADED[ranks_path, pattern] = Bpe(ranks_path, pattern)
-    return _LOADED[ranks_path, pattern]
+    """One per worker process, kept over the tasks of a stage."""
+    return held(("bpe", ranks_path, pattern), lambda: Bpe(ranks_path, pattern))
 
 
 def encode(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -11,6 +14,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,10 +71,43 @@ def ship(spark: SparkSession) -> None:
     context._seriesmart_shipped = True
 
 
+#: What a worker holds over the tasks of one stage: vocabularies and the ids of known words.
+_HELD: dict = {}
+
+
+def held(key: tuple, make: Callable):
+    """`make()`, once for each worker and stage."""
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Give memory that is free back to the system; else a worker keeps the most that it ever needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
-    """`mapInArrow` of a function of this package."""
+    """`mapInArrow` of a function of this package.
+
+    Workers serve one stage after the other. What one holds is dropped when it comes to another stage, and
+    free memory is given back after each task.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stage = TaskContext.get().stageId()
+        if _HELD.get("stage") != stage:
+            _HELD.clear()
+            release()
+            _HELD["stage"] = stage
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(task, schema)
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,7 @@ import os
 
 import numpy as np
 
+from seriesmart.llm.common import held
 from seriesmart.llm.pieces import UnitCache
 
 #: Distinct units that a worker remembers.
@@ -17,8 +18,6 @@ REMEMBERED = 1_200_000
 #: Units of one call, one on each line.
 LINES = 20
 
-_LOADED: dict[str, UnitCache] = {}
-
 
 def load(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -32,10 +31,8 @@ def vocabulary_size(path: str) -> int:
 
 
 def unit_cache(path: str) -> UnitCache:
-    """The tokenizer of a JSON file, one per worker process."""
-    if path not in _LOADED:
-        _LOADED[path] = _cache(load(path))
-    return _LOADED[path]
+    """The tokenizer of a JSON file, one per worker process and stage."""
+    return held(("ids", path), lambda: _cache(load(path)))
 
 
 def _cache(tokenizer) -> UnitCache:
