@@ -27,6 +27,7 @@ from seriesmart.operators.staging import (
 from seriesmart.operators.star import day_spine, dim_date, dim_series, fct_observations
 from seriesmart.plans import gap_report, kpis, marts, pages
 from seriesmart.plans.checks import CHECKS
+from seriesmart.plans.views import marts_by_sql
 from seriesmart.schemas import (
     ACCOUNT_DIMENSIONS,
     EXTRACTS,
@@ -85,7 +86,9 @@ def _industry(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _all_marts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return {**_national_marts(spark, d), "state": _state(spark, d), "industry": _industry(spark, d)}
+    """All marts of one star, so that they share its dimension and its deduplication."""
+    built = marts_by_sql(*_star(spark, d, (*OVERLAPPING, B.STATE_EXTRACT), account=True))
+    return {part: getattr(built, part) for part in marts.MART_VIEWS}
 
 
 def _national_marts(spark: SparkSession, d: str) -> dict[str, DataFrame]:

@@ -6,8 +6,12 @@ Spark keeps no view of a frame beyond its session, so these say in SQL what `ope
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame
+
 from seriesmart.operators.staging import ACCOUNT_CODES, CODES, LF_CODES, STAGED
-from seriesmart.plans.marts import FULLTIME_PARTTIME, INDUSTRY, NATIONAL, STATES
+from seriesmart.plans.marts import FULLTIME_PARTTIME, INDUSTRY, NATIONAL, STATES, Marts
 from seriesmart.schemas import ACCOUNT_DIMENSIONS, LABOUR_ACCOUNT, LABOUR_FORCE, LF_DIMENSIONS, MART_CONTRACT
 
 
@@ -83,7 +87,8 @@ def _mart(name: str, steps: list[str], columns: dict[str, str]) -> str:
     return f"WITH {', '.join(steps)} SELECT {', '.join(chosen)} FROM last"
 
 
-_LATEST = "CAST(date = (SELECT max(date) FROM wide) AS INT)"
+#: Over rows that are one per entity and period by now, so that the fact is read once.
+_LATEST = "CAST(date = max(date) OVER () AS INT)"
 
 
 def mart_sql(fact: str, series: str) -> dict[str, str]:
@@ -174,3 +179,17 @@ def mart_sql(fact: str, series: str) -> dict[str, str]:
         "v_fulltime_parttime": by_kind,
         "v_industry_breakdown": by_industry,
     }
+
+
+def marts_by_sql(fact: DataFrame, series: DataFrame) -> Marts:
+    """The marts of a star from their SQL: each is analysed once, where frames are at every step.
+
+    For queries that combine all marts of a star that is not stored, whose plans are long.
+    """
+    spark, names = fact.sparkSession, [f"star_{uuid.uuid4().hex}" for _ in range(2)]
+    for name, df in zip(names, (fact, series), strict=True):
+        df.createOrReplaceTempView(name)
+    marts = Marts.of_names({name: spark.sql(sql) for name, sql in mart_sql(*names).items()})
+    for name in names:
+        spark.catalog.dropTempView(name)
+    return marts
