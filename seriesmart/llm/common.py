@@ -49,9 +49,22 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """`df` written once to the shared folder and read back: cuts lineage and survives lost executors."""
+    """`df` written once to the shared folder and read back: cuts lineage and survives lost executors.
+
+    The files of its shuffles are given up at once, not when the driver happens to collect its garbage.
+    """
     df.write.parquet(path := new_path(spark, name))
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def unstore(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more: what was made of them is stored itself."""
+    for table in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # --- Python per Arrow batch ----------------------------------------------------------------------
