@@ -43,9 +43,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     least = F.max((F.col("component_id") == F.col("doc_id")).cast("int"))
     gone = linked.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(least.alias("least")).filter("least = 0")
     kept = docs.join(gone.select(F.col("doc_id").alias("__gone")), F.col("doc_id") == F.col("__gone"), "left_anti")
-    turn = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    one = kept.withColumn("__turn", F.row_number().over(turn))
-    return one.filter((F.col("__turn") == 1) | F.col("doc_id").isNull()).select(*docs.columns)
+    # Rows without an id are each alone, so that many of them are no group.
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    turn = Window.partitionBy("doc_id", F.xxhash64("text"), "__alone").orderBy("doc_id")
+    one = kept.withColumn("__alone", alone).withColumn("__turn", F.row_number().over(turn))
+    return one.filter(F.col("__turn") == 1).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +77,7 @@ STAGES = [
     ("bpe", tokens),
 ]
 
-#: SQL can train no network and build no Cartesian trees; `tests/llm` checks the operators, not the stages together.
+#: SQL can train no network and build no Cartesian trees; `tests/llm/test_pipeline.py` runs the stages against brute force.
 ORACLE_SQL = None
 
 
