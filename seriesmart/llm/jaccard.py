@@ -9,10 +9,12 @@ dealt by shingle. Members of one are not paired with each other: all are compare
 shingle comes earliest in its order, the most typical one. Components of the links found so far
 then leave few members that may be linked to another component; those are compared with all
 others of their shingle that sizes and positions do not rule out. After that no link between
-different components can be missing.
+different components can be missing. A member whose position leaves it no partner of its own size can only
+be linked with one that has room for a larger partner, so two such members never meet: pages that share a
+template but less than the limit are not paired, however many they are.
 
-Verification. The order of hashes is cut into fragments; overlaps are counted for each fragment of a
-pair apart, and summed per pair.
+Verification. The global order is cut into fragments, ranges of it that hold equal shares of all shingles;
+overlaps are counted for each fragment of a pair apart, and summed per pair.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ PERCENT = 80
 #: Counters of shingles, in fragments of the hash order that are summed apart.
 COUNTER_BITS = 22
 COUNTER_FRAGMENTS = 64
-#: Fragments of the hash order for verification: the top bits of a hash.
-FRAGMENT_BITS = 3
+#: Fragments of the global order for verification.
+FRAGMENTS = 8
 #: Up to so many pairs (16 MB) go to the sets; more are joined by shuffling both.
 BROADCAST_PAIRS = 1_000_000
 
@@ -104,6 +106,22 @@ def _rarity(spark: SparkSession, profiles: DataFrame) -> np.ndarray:
     return level
 
 
+def _order_key(found: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Places of shingles in the global order: rare ones first, equally rare ones by hash."""
+    rank = level[(found >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)].astype(np.uint64)
+    return rank << np.uint64(48) | found >> np.uint64(16)
+
+
+def _cuts(level: np.ndarray) -> np.ndarray:
+    """Where the global order is cut into fragments, from how frequent the shingles of each counter are."""
+    lowest = np.arange(len(level), dtype=np.uint64) << np.uint64(64 - COUNTER_BITS)
+    key = _order_key(lowest, level)
+    order = np.argsort(key)
+    upto = np.cumsum(2.0 ** (level[order] / 1000) - 1)
+    shares = upto[-1] * np.arange(1, FRAGMENTS) / FRAGMENTS
+    return key[order[np.minimum(np.searchsorted(upto, shares), len(order) - 1)]]
+
+
 # --- Candidates ----------------------------------------------------------------------------------
 
 _ENTRY = "shingle long, cls long, n int, pos int"
@@ -113,7 +131,7 @@ def _entries(width: int, percent: int, rarity):
     """The first shingles of each set in the global order, once per class and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, seen, shift = rarity.value, set(), np.uint64(64 - COUNTER_BITS)
+        level, seen = rarity.value, set()
         for batch in batches:
             parts: list[tuple] = []
             for text in batch.column("text"):
@@ -123,8 +141,7 @@ def _entries(width: int, percent: int, rarity):
                     continue
                 seen.add(cls)
                 first = n - (percent * n + 99) // 100 + 1
-                rank = level[(found >> shift).astype(np.int64)].astype(np.uint64)
-                order = np.argsort(rank << np.uint64(48) | found >> np.uint64(16), kind="stable")[:first]
+                order = np.argsort(_order_key(found, level), kind="stable")[:first]
                 parts.append((found[order].view(np.int64), cls, n, first))
             if parts:
                 lengths = [p[3] for p in parts]
@@ -147,6 +164,14 @@ def _possible(percent: int, n: Column, pos: Column, m: Column, at: Column) -> Co
     )
 
 
+def _roomy(percent: int, n: Column, pos: Column) -> Column:
+    """Whether a set of n shingles can be linked, over one at this position, with a set that is not smaller.
+
+    Of a link's two sets one has room for the other's size beyond its own or equal to it, so it is roomy.
+    """
+    return (100 + percent) * (n - pos) >= 2 * percent * n
+
+
 def _with_first(entries: DataFrame) -> DataFrame:
     """Entries that are not the first class of their shingle, beside the first: (… , c, c_n, c_pos)."""
     order = Window.partitionBy("shingle").orderBy("pos", "cls")
@@ -166,23 +191,28 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
 # --- Verification --------------------------------------------------------------------------------
 
 
-def _fragments(width: int, marks):
+def _fragments(width: int, marks, rarity):
     """Fragments of the sets of marked documents, and of others whose id has the same hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.unpackbits(marks.value).astype(bool)
+        level = rarity.value
+        cuts = _cuts(level)
         for batch in batches:
             wanted = marked[mark_of(batch.column("doc_id").to_numpy())]
             for k in np.flatnonzero(wanted):
                 found = shingle_set(batch.column("text")[int(k)].as_py(), width)
                 if not len(found):
                     continue
-                part = (found >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int32)
+                cls = _class_of(found)
+                key = _order_key(found, level)
+                order = np.argsort(key, kind="stable")
+                found, part = found[order], np.searchsorted(cuts, key[order], "right").astype(np.int32)
                 kinds, starts = np.unique(part, return_index=True)
                 offsets = np.append(starts, len(found)).astype(np.int32)
                 yield _batch(
                     ["cls", "fragment", "part"],
-                    pa.array(np.full(len(kinds), _class_of(found))),
+                    pa.array(np.full(len(kinds), cls)),
                     pa.array(kinds),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.view(np.int64))),
                 )
@@ -191,13 +221,13 @@ def _fragments(width: int, marks):
 
 
 def _verified(
-    spark: SparkSession, rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int
+    spark: SparkSession, rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int, rarity
 ) -> DataFrame:
     """The pairs of classes that are links."""
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     sizes = stored(spark, classes.join(ends, "cls"), "sizes")
     marks = spark.sparkContext.broadcast(marks_of(sizes.select("first")))
-    made = map_arrow(rows, _fragments(width, marks), "cls long, fragment int, part array<long>")
+    made = map_arrow(rows, _fragments(width, marks, rarity), "cls long, fragment int, part array<long>")
     parts = stored(spark, made, "fragments")
     return stored(spark, _links(pairs, parts, sizes, percent), "links")
 
@@ -263,7 +293,7 @@ def link_components(
 
     n, pos, m, at = (F.col(c) for c in ("n", "pos", "c_n", "c_pos"))
     starred = stored(spark, _pairs(beside.filter(_possible(percent, n, pos, m, at)), "cls", "c"), "pairs")
-    links = _verified(spark, named, starred, classes, width, percent)
+    links = _verified(spark, named, starred, classes, width, percent, rarity)
 
     labels = components(spark, links)
     of = members.join(labels.withColumnRenamed("v", "cls"), "cls", "left").withColumn(
@@ -275,13 +305,16 @@ def link_components(
         "shingle", F.col("cls").alias("o"), F.col("n").alias("o_n"), F.col("pos").alias("o_pos"),
         F.col("label").alias("o_label"),
     )
-    across = of.join(outside, "shingle").filter(
+    # Sets without room for their own size meet roomy ones only.
+    outside = outside.withColumn("side", F.when(_roomy(percent, F.col("o_n"), F.col("o_pos")), 0).otherwise(1))
+    sides = F.when(_roomy(percent, n, pos), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    across = of.withColumn("side", F.explode(sides)).join(outside, ["shingle", "side"]).filter(
         (F.col("label") != F.col("o_label"))
         & ((F.col("label") == F.col("main")) | (F.col("cls") < F.col("o")))
         & _possible(percent, n, pos, F.col("o_n"), F.col("o_pos"))
     )
     left = stored(spark, _pairs(across, "cls", "o").join(starred, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(spark, named, left, classes, width, percent)
+    more = _verified(spark, named, left, classes, width, percent, rarity)
     if more.limit(1).count():
         labels = components(spark, links.union(more))
 

@@ -156,6 +156,47 @@ def test_passages(spark, docs, none):
     assert passages.repeated_passages(spark, none).count() == 0
 
 
+def test_jaccard_of_pages_near_the_limit(spark):
+    """Pages of one template just below and just above the limit, in sizes that differ a little too."""
+    rng = np.random.default_rng(6)
+    template = [f"t{k}" for k in range(400)]
+
+    def page(k, own):
+        words = list(template)
+        for at in range(own):
+            words.insert(int(rng.integers(0, len(words))) if at % 2 else 17 * at % len(words), f"p{k}x{at}")
+        return words
+
+    rows = [(k, " ".join(page(k, 3 + k % 9)), "z") for k in range(1, 70)]
+    rows += [(k, " ".join([*template[: 300 + k % 5], *[f"own{k}x{i}" for i in range(33 + k % 7)]]), "z") for k in range(70, 140)]
+    label, _ = brute_components(rows)
+    found = jaccard.link_components(spark, spark.createDataFrame(rows, "doc_id long, text string, cls string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == label
+    assert 1 < len(set(label.values())) < len(rows)
+
+
+def test_sets_without_room_are_never_linked_with_each_other():
+    for percent in (50, 80, 90):
+        for n in range(1, 26):
+            for m in range(1, 26):
+                for pos in range(n):
+                    for at in range(m):
+                        shared = min(n - pos, m - at)
+                        fits = 100 * min(n, m) >= percent * max(n, m)
+                        if fits and 100 * shared >= percent * (n + m - shared):
+                            assert jaccard._roomy(percent, n, pos) or jaccard._roomy(percent, m, at)
+
+
+def test_fragments_are_ranges_of_the_order():
+    level = np.random.default_rng(1).integers(0, 4000, 1 << jaccard.COUNTER_BITS).astype(np.uint16)
+    cuts = jaccard._cuts(level)
+    assert len(cuts) == jaccard.FRAGMENTS - 1 and (np.diff(cuts.astype(float)) > 0).all()
+    weights = 2.0 ** (level / 1000) - 1
+    lowest = np.arange(len(level), dtype=np.uint64) << np.uint64(64 - jaccard.COUNTER_BITS)
+    share = np.bincount(np.searchsorted(cuts, jaccard._order_key(lowest, level), "right"), weights) / weights.sum()
+    assert np.allclose(share, 1 / jaccard.FRAGMENTS, atol=0.001)
+
+
 def passage_words(name, n):
     return [f"{name}{k}" for k in range(n)]
 
