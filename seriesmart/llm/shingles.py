@@ -41,6 +41,14 @@ def shingles(words: np.ndarray, width: int = WORDS) -> np.ndarray:
     return mix(h + np.uint64(n))
 
 
+def runs_at(words: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """`shingles(words, width)` at some places only; all runs must be whole."""
+    h = words[start]
+    for k in range(1, width):
+        h = h * _M + words[start + k]
+    return mix(h + np.uint64(width))
+
+
 def shingle_set(text: str | None, width: int = WORDS) -> np.ndarray:
     """Distinct shingles of a text, ascending."""
     h = np.sort(shingles(word_hashes(words_of(text)), width))
