@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import random
 from collections import defaultdict
 
@@ -126,20 +127,22 @@ def test_rank_leaves_gaps_after_ties(spark):
     assert got == {(1, "a"): 1, (1, "b"): 1, (1, "c"): 3, (1, "d"): 4, (2, "a"): 1}
 
 
-def test_select_facts_prunes_by_prefix(spark, scratch):
+def test_select_facts_prunes_by_dataflow(spark, scratch):
+    """Whatever series ids look like, a fact partitioned by dataflow is read for the selected one only."""
     series = spark.createDataFrame(
-        [("LF.M1.x", "LF", "M1"), ("LF.M13.x", "LF", "M13"), ("OTHER.M1.x", "OTHER", "M1")],
+        [("LF.M1.x", "LF", "M1"), ("7", "LF", "M1"), ("LF.M13.x", "LF", "M13"), ("OTHER.M1.x", "OTHER", "M1")],
         "series_id string, source_dataflow string, measure_code string",
     )
-    rows = [(s, i, float(i)) for s in ("LF.M1.x", "LF.M13.x", "OTHER.M1.x") for i in range(4)]
+    rows = [(s.series_id, s.source_dataflow, i, float(i)) for s in series.collect() for i in range(4)]
     path = f"{scratch}/fact"
-    spark.createDataFrame(rows, "series_id string, date_key int, obs_value double").write.parquet(path)
+    facts = spark.createDataFrame(rows, "series_id string, source_dataflow string, date_key int, obs_value double")
+    facts.write.partitionBy("source_dataflow").parquet(path)
     picked = R.select_facts(
         spark.read.parquet(path), series, {"source_dataflow": "LF", "measure_code": ["M1"]}
     ).select("series_id", "obs_value")
-    assert {r.series_id for r in picked.collect()} == {"LF.M1.x"} and picked.count() == 4
+    assert {r.series_id for r in picked.collect()} == {"LF.M1.x", "7"} and picked.count() == 8
     plan = picked._jdf.queryExecution().executedPlan().toString()
-    assert "StringStartsWith(series_id,LF.M1.)" in plan
+    assert re.search(r"PartitionFilters: \[[^\]]*source_dataflow#\d+ = LF", plan)
     assert "ReadSchema: struct<series_id:string,obs_value:double>" in plan
 
 
