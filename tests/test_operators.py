@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 import random
+import re
 from collections import defaultdict
 
 import pytest
