@@ -163,6 +163,33 @@ def op7_shard(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+ORACLES["op7_shard"] = """
+WITH steps AS MATERIALIZED (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, -1, -1, -1, -1, -1, -1, -1, -1],
+        lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t
+), crcs AS MATERIALIZED (
+    SELECT doc_id, source, (strlen(coalesce(text, '')) + 16)::BIGINT AS size,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+            regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
+            lambda crc, b: xor(crc >> 8, t[1 + (xor(crc, b) & 255)])), 4294967295::BIGINT) AS text_crc32
+    FROM documents, steps
+), shuffled AS (
+    SELECT *, coalesce('=' || source, '') AS g, count(*) OVER () AS total, count(*) OVER (PARTITION BY source) AS n,
+        ('0x' || substr(md5(concat_ws('|', '7', coalesce(doc_id::VARCHAR, ''), text_crc32::VARCHAR, size::VARCHAR)),
+            1, 15))::BIGINT AS k
+    FROM crcs
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY k, doc_id, text_crc32, size) - 1 AS r FROM shuffled
+), placed AS (
+    SELECT *, row_number() OVER (ORDER BY (2 * r + 1)::DOUBLE / (2 * n)::DOUBLE, g, k, doc_id, text_crc32, size) - 1 AS place
+    FROM ranked
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (place * 40 // total)::INTEGER AS shard,
+    (place - (place * 40 // total * total + 39) // 40)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
+
 # --- 10: packed ids ------------------------------------------------------------------------------
 
 
