@@ -97,7 +97,6 @@ def held(key: tuple, make: Callable):
 
 def release() -> None:
     """Give memory that is free back to the system; else a worker keeps the most that it ever needed."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
@@ -115,6 +114,7 @@ def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataF
         stage = TaskContext.get().stageId()
         if _HELD.get("stage") != stage:
             _HELD.clear()
+            gc.collect()
             release()
             _HELD["stage"] = stage
         yield from run(batches)
