@@ -71,10 +71,15 @@ def unstore(spark: SparkSession, *tables: DataFrame) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, once per application, as `--py-files` would."""
+    """Give executors this package, once per application, as `--py-files` would.
+
+    Batches are kept small, unless the application says how large: texts are long.
+    """
     context = spark.sparkContext
     if getattr(context, "_seriesmart_shipped", False):
         return
+    if not context.getConf().contains(BATCH_ROWS):
+        spark.conf.set(BATCH_ROWS, "2000")
     package = Path(__file__).resolve().parent.parent
     archive = f"{tempfile.mkdtemp(prefix='run-')}/seriesmart.zip"
     with zipfile.ZipFile(archive, "w") as out:
@@ -84,6 +89,7 @@ def ship(spark: SparkSession) -> None:
     context._seriesmart_shipped = True
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: What a worker holds over the tasks of one stage: vocabularies and the ids of known words.
 _HELD: dict = {}
 

@@ -191,13 +191,12 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
 # --- Verification --------------------------------------------------------------------------------
 
 
-def _fragments(width: int, marks, rarity):
+def _fragments(width: int, marks, rarity, cuts: np.ndarray):
     """Fragments of the sets of marked documents, and of others whose id has the same hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.unpackbits(marks.value).astype(bool)
         level = rarity.value
-        cuts = _cuts(level)
         for batch in batches:
             wanted = marked[mark_of(batch.column("doc_id").to_numpy())]
             for k in np.flatnonzero(wanted):
@@ -221,13 +220,14 @@ def _fragments(width: int, marks, rarity):
 
 
 def _verified(
-    spark: SparkSession, rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int, rarity
-) -> DataFrame:
+    spark: SparkSession, rows: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int,
+    rarity, cuts: np.ndarray,
+) -> DataFrame:
     """The pairs of classes that are links."""
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     sizes = stored(spark, classes.join(ends, "cls"), "sizes")
     marks = spark.sparkContext.broadcast(marks_of(sizes.select("first")))
-    made = map_arrow(rows, _fragments(width, marks, rarity), "cls long, fragment int, part array<long>")
+    made = map_arrow(rows, _fragments(width, marks, rarity, cuts), "cls long, fragment int, part array<long>")
     parts = stored(spark, made, "fragments")
     return stored(spark, _links(pairs, parts, sizes, percent), "links")
 
@@ -281,7 +281,8 @@ def link_components(
         .groupBy("cls")
         .agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n_shingles"))
     )
-    rarity = spark.sparkContext.broadcast(_rarity(spark, profiles))
+    level = _rarity(spark, profiles)
+    rarity, cuts = spark.sparkContext.broadcast(level), _cuts(level)
 
     named = rows.filter("doc_id IS NOT NULL")
     entries = map_arrow(named, _entries(width, percent, rarity), _ENTRY)
@@ -293,7 +294,7 @@ def link_components(
 
     n, pos, m, at = (F.col(c) for c in ("n", "pos", "c_n", "c_pos"))
     starred = stored(spark, _pairs(beside.filter(_possible(percent, n, pos, m, at)), "cls", "c"), "pairs")
-    links = _verified(spark, named, starred, classes, width, percent, rarity)
+    links = _verified(spark, named, starred, classes, width, percent, rarity, cuts)
 
     labels = components(spark, links)
     of = members.join(labels.withColumnRenamed("v", "cls"), "cls", "left").withColumn(
@@ -314,7 +315,7 @@ def link_components(
         & _possible(percent, n, pos, F.col("o_n"), F.col("o_pos"))
     )
     left = stored(spark, _pairs(across, "cls", "o").join(starred, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(spark, named, left, classes, width, percent, rarity)
+    more = _verified(spark, named, left, classes, width, percent, rarity, cuts)
     if more.limit(1).count():
         labels = components(spark, links.union(more))
 
