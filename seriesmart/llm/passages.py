@@ -383,15 +383,14 @@ def _exact(spark: SparkSession, tokens: DataFrame, halves: DataFrame, spans: Dat
     whole = asked.join(marked_rows(tokens, asked.select("doc")), ["doc", "cls"]).select("doc", "cls", "runs", "tokens")
     runs = stored(spark, map_arrow(whole, _runs(width), "run long, doc long, cls long, at int"), "runs")
     unstore(spark, open_halves, asked)
-    least = runs.groupBy("run").agg(F.min(F.struct("doc", "cls", "at")).alias("o"), F.max("doc").alias("high"))
-    hits = runs.join(least.filter("o.doc < high").select("run", "o"), "run").filter("o.doc < doc AND o.cls <> cls")
-    # Runs that follow each other in both documents are one passage; a repeated row has its runs twice.
-    hits = hits.select(
+    least = F.min(F.struct("doc", "cls", "at")).over(Window.partitionBy("run"))
+    hits = runs.withColumn("o", least).filter("o.doc < doc AND o.cls <> cls").select(
         "doc", "cls", F.col("o.doc").alias("other"), F.col("o.cls").alias("other_cls"), "at",
         (F.col("o.at") - F.col("at")).alias("shift"),
-    ).distinct()
+    )
+    # Runs that follow each other in both documents are one passage; a repeated row has its runs twice.
     by = ["doc", "cls", "other", "other_cls", "shift"]
-    turn = F.row_number().over(Window.partitionBy(*by).orderBy("at"))
+    turn = F.dense_rank().over(Window.partitionBy(*by).orderBy("at"))
     joined = hits.withColumn("part", F.col("at") - turn).groupBy(*by, "part").agg(
         F.min("at").cast("long").alias("s"), (F.max("at") + width + WORDS - 1).cast("long").alias("e")
     )
