@@ -10,10 +10,12 @@ neighbours that bound a node are such positions too, so the tree is built over t
 from sliding minima.
 
 Texts are tokenized once, into a stored table that all later steps read. Windows whose value another
-document has are joined as stars: each with the first window of its bucket, never all with all. A bucket
-has one value and one run of `SIDE` tokens that ends or starts at the centre, so that a token of a common
-phrase does not bring unlike contexts together; a window is in two, and an edit spares one of them unless
-it has one on both sides. Large buckets are dealt in parts, whose first windows form a star of their own.
+document has are joined as stars: each with the first window of its bucket. A bucket has one value and
+one run of `SIDE` tokens that ends or starts at the centre, so that a token of a common phrase does not
+bring unlike contexts together; a window is in two, and an edit spares one of them unless it has one on
+both sides. Large buckets are dealt in parts, whose first windows form a star of their own. Where the
+centre of a window is in no passage after that, its document is compared with all earlier ones of the
+bucket that can have a similar passage: they share one of the rarest tokens there, by a prefix filter.
 The intervals of a pair of documents over all hashes are verified together: tokens of one side found on
 the other, cut where they are far apart, are a passage if they are long enough and their shingle sets
 similar enough.
@@ -445,23 +447,124 @@ def _halves(shared: DataFrame, width: int) -> DataFrame:
     return made.withColumn("several", several).filter("several").drop("several")
 
 
-def _pairs(spark: SparkSession, shared: DataFrame) -> DataFrame:
-    """Pairs of documents with their windows that meet in a bucket, a star for each."""
+def _members(spark: SparkSession, shared: DataFrame) -> DataFrame:
+    """(side, doc, cls, span, at, large, o_doc, o_cls, o_span): windows of buckets, with the first of each."""
     halves = [F.shiftright("sides", 32), F.col("sides").bitwiseAND(F.lit(0xFFFFFFFF))]
     sides = F.array(*[F.when(h != 0, F.xxhash64("value", F.lit(k), h)) for k, h in enumerate(halves)])
-    sided = shared.select(F.explode(F.array_compact(sides)).alias("side"), *_PLACE)
+    sided = shared.select(F.explode(F.array_compact(sides)).alias("side"), *_PLACE, "at")
     large = sided.groupBy("side").agg(F.count("*").alias("n")).filter(F.col("n") > LARGE)
     large = stored(spark, large.select(F.col("side").alias("large")), "large")
     dealt = sided.join(large, F.col("side") == F.col("large"), "left")
     part = F.when(F.col("large").isNotNull(), F.pmod(F.xxhash64("doc"), F.lit(PARTS))).otherwise(0)
     stars = _with_first(dealt.withColumn("part", part), "side", "part")
-    heads = stars.filter("large IS NOT NULL AND doc = o_doc AND cls = o_cls AND span = o_span")
-    met = stars.unionByName(_with_first(heads.select("side", *_PLACE), "side"), allowMissingColumns=True)
-    earlier = (F.col("o_doc") < F.col("doc")) & (F.col("o_cls") != F.col("cls"))
+    bucket = Window.partitionBy("side", "part")
+    mixed = (F.min("cls").over(bucket) != F.max("cls").over(bucket)) | F.col("large").isNotNull()
+    members = stars.withColumn("mixed", mixed).filter("mixed").drop("part", "mixed")
+    members = stored(spark, members, "members")
+    unstore(spark, large)
+    return members
+
+
+def _met(members: DataFrame) -> DataFrame:
+    """Windows beside the first of their bucket; first ones of parts of a large bucket, beside its first."""
+    heads = members.filter("large IS NOT NULL AND doc = o_doc AND cls = o_cls AND span = o_span")
+    return members.unionByName(_with_first(heads.select("side", *_PLACE, "at"), "side"), allowMissingColumns=True)
+
+
+def _by_documents(spark: SparkSession, met: DataFrame) -> DataFrame:
+    """Pairs of documents with their windows that meet, the later one first."""
     by = ["doc", "cls", F.col("o_doc").alias("other"), F.col("o_cls").alias("other_cls")]
     windows = [F.collect_set("span").alias("own"), F.collect_set("o_span").alias("theirs")]
-    pairs = stored(spark, met.filter(earlier).groupBy(*by).agg(*windows), "window-pairs")
-    unstore(spark, large)
+    earlier = (F.col("o_doc") < F.col("doc")) & (F.col("o_cls") != F.col("cls"))
+    return stored(spark, met.filter(earlier).groupBy(*by).agg(*windows), "window-pairs")
+
+
+#: Rows that are compared by tokens, in turns: what one shuffles is given up before the next.
+TURNS = 4
+
+
+def _tokens_of(width: int, percent: int):
+    """Distinct tokens of windows by bucket (`key`), and how many of them a similar passage shares at least.
+
+    A passage of the window holds a run of `width` tokens, so it shares `percent` of those of the run that has
+    the fewest distinct ones.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _portions(batches):
+            keys, sizes, least = [np.zeros(0, np.int64)], [], []
+            columns = [batch.column(n).to_pylist() for n in ("side", "span")]
+            for side, span, data in zip(*columns, batch.column("tokens"), strict=True):
+                tokens = received(data.as_buffer())[span >> 32 : (span & 0xFFFFFFFF) + 1]
+                order = np.argsort(tokens, kind="stable")
+                again = np.flatnonzero(np.diff(tokens[order]) == 0)
+                before = np.full(len(tokens), -1)
+                before[order[again + 1]] = order[again]
+                runs = np.lib.stride_tricks.sliding_window_view(before, width)
+                fewest = width if not len(again) else int((runs < np.arange(len(runs))[:, None]).sum(1).min())
+                distinct = tokens[before < 0]
+                keys.append(mix(distinct + np.uint64(side & (1 << 64) - 1)).view(np.int64))
+                sizes.append(len(distinct))
+                least.append((percent * fewest + 99) // 100)
+            ids = np.repeat(batch.column("id").to_numpy(), sizes)
+            rows = [np.concatenate(keys), ids, np.repeat(np.array(least, np.int32), sizes)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), names=["key", "id", "least"])
+
+    return run
+
+
+def _left(members: DataFrame, spans: DataFrame) -> DataFrame:
+    """(id, side, doc, cls, span): documents of buckets; ids are odd if a window's centre is in no passage yet.
+
+    Only buckets with such a window, and of equal texts only the first. `span` is what the windows span.
+    """
+    covered = (
+        (F.col("doc") == F.col("s_doc"))
+        & (F.col("cls") == F.col("s_cls"))
+        & F.shiftright("at", 1).between(F.col("s"), F.col("e") - WORDS)
+    )
+    by = ["side", "doc", "cls"]
+    left = members.join(spans, covered, "left_anti").select(*by).distinct().withColumn("left", F.lit(True))
+    l, r = F.min(F.shiftright("span", 32)), F.max(F.col("span").bitwiseAND(F.lit(0xFFFFFFFF)))
+    spanned = members.groupBy(*by).agg(F.shiftleft(l, 32).bitwiseOR(r).alias("span")).join(left, by, "left")
+    one = Window.partitionBy("side", "cls").orderBy("doc")
+    firsts = spanned.withColumn("turn", F.row_number().over(one)).filter("turn = 1")
+    bucket = Window.partitionBy("side")
+    earlier = F.min("doc").over(bucket) < F.max(F.when(F.col("left"), F.col("doc"))).over(bucket)
+    kept = firsts.withColumn("earlier", earlier).filter("earlier")
+    odd = F.coalesce(F.col("left"), F.lit(False)).cast("long")
+    return kept.select((2 * F.monotonically_increasing_id() + odd).alias("id"), *by, "span")
+
+
+def _left_pairs(
+    spark: SparkSession, tokens: DataFrame, members: DataFrame, spans: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Pairs of documents of a bucket of which the later has a window there that is in no passage yet.
+
+    All earlier documents that can have a similar passage are paired with it: of the tokens that others of the
+    bucket have too, the two must share one of the rarest, all but the last that a passage shares at least.
+    """
+    left = stored(spark, _left(members, spans), "left")
+    rows = stored(spark, marked_rows(tokens.select("doc", "cls", "tokens"), left.select("doc")), "left-tokens")
+    several = F.count("*").over(Window.partitionBy("key"))
+    parts = []
+    for k in range(TURNS):
+        asked = left.filter(F.pmod(F.xxhash64("side"), F.lit(TURNS)) == k).join(rows, ["doc", "cls"])
+        made = map_arrow(
+            asked.select("id", "side", "span", "tokens"), _tokens_of(width, percent), "key long, id long, least int"
+        )
+        parts.append(stored(spark, made.withColumn("n", several).filter("n > 1"), "left-shared"))
+    of = Window.partitionBy("id")
+    turn = F.row_number().over(of.orderBy("n", "key"))
+    counted = reduce(DataFrame.union, parts).withColumn("all", F.count("*").over(of)).withColumn("turn", turn)
+    counted = stored(spark, counted.drop("n"), "left-counted")
+    later = counted.filter("id % 2 = 1 AND turn <= all - least + 1").select("key", F.col("id").alias("a"), "least")
+    first = counted.select("key", F.col("id").alias("b"), "all")
+    met = later.join(first, "key").filter("a <> b AND all >= least").select("a", "b").distinct()
+    one = left.select(F.col("id").alias("a"), "doc", "cls", "span")
+    two = left.select("id", *[F.col(n).alias(f"o_{n}") for n in _PLACE]).withColumnRenamed("id", "b")
+    pairs = _by_documents(spark, met.join(one, "a").join(two, "b"))
+    unstore(spark, left, rows, counted, *parts)
     return pairs
 
 
@@ -488,9 +591,9 @@ def repeated_passages(
     schema = "doc long, cls long, n long, tokens binary"
     tokens = stored(spark, map_arrow(rows, _tokenize(width), schema), "tokens")
     shared = _shared(spark, tokens, width)
-    halves, pairs = stored(spark, _halves(shared, width), "halves"), _pairs(spark, shared)
+    halves, members = stored(spark, _halves(shared, width), "halves"), _members(spark, shared)
     unstore(spark, shared)
-    near = _verified(spark, tokens, pairs, width, percent)
+    near = _verified(spark, tokens, _by_documents(spark, _met(members)), width, percent)
     spans = stored(spark, _spans_of(near), "spans")
     spanned = (
         (F.col("doc_id") == F.col("s_doc"))
@@ -499,6 +602,10 @@ def repeated_passages(
         & (F.col("word_end") <= F.col("e"))
     )
     exact = _exact(spark, tokens, halves, spans, width)
+    unstore(spark, halves)
+    settled = stored(spark, _spans_of(near.union(exact)), "settled")
+    more = _verified(spark, tokens, _left_pairs(spark, tokens, members, settled, width, percent), width, percent)
+    unstore(spark, members, settled)
     sized = tokens.select(F.col("doc").alias("doc_id"), "cls", "n")
     lowest = sized.groupBy("cls").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     zero = F.lit(0).cast("long")
@@ -509,9 +616,9 @@ def repeated_passages(
                 F.col("n").alias("word_end"), zero.alias("first_start"), F.col("n").alias("first_end"),
                 F.lit(1.0).alias("similarity"))
     )
-    found = near.union(exact.join(spans, spanned, "left_anti")).union(copies).distinct()
+    found = near.union(more).union(exact.join(spans, spanned, "left_anti")).union(copies).distinct()
     found = stored(spark, found, "passages")
-    unstore(spark, tokens, halves, near, spans, exact)
+    unstore(spark, tokens, near, more, spans, exact)
     return found
 
 

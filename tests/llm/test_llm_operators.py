@@ -290,6 +290,15 @@ def test_near_copies_of_passages_that_share_a_line(spark):
     assert [len(left[k]) for k in range(9, 17)] == [0] * 8
 
 
+def test_near_copies_beside_an_unlike_first(spark):
+    """A near copy whose only common bucket begins with a text that has the same 22 words, and no more."""
+    block = [*passage_words("l", 12), *frequent_lines()[1][:10]]
+    first, own = ([*passage_words(n, 20), *block, *passage_words(f"{n}end", 33)] for n in "ab")
+    copy = [*own[:44], "edited", *own[45:]]
+    left = words_left(spark, [first, own, copy])
+    assert [len(left[k]) for k in (1, 2, 3)] == [75, 75, 0]
+
+
 def test_recall_of_near_passages(spark):
     """Passages of 60 to 120 words with edits, at the limit of similarity too, in texts of their own and mixed lines."""
     rng = np.random.default_rng(8)
