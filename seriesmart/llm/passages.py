@@ -15,7 +15,8 @@ one run of `SIDE` tokens that ends or starts at the centre, so that a token of a
 bring unlike contexts together; a window is in two, and an edit spares one of them unless it has one on
 both sides. Large buckets are dealt in parts, whose first windows form a star of their own. Where the
 centre of a window is in no passage after that, its document is compared with all earlier ones of the
-bucket that can have a similar passage: they share one of the rarest tokens there, by a prefix filter.
+bucket that can have a similar passage: tasks count common tokens and bound the similarity between any two
+ends, by bucket, and in blocks of a large one. Of windows with the same tokens the earliest stands for all.
 The intervals of a pair of documents over all hashes are verified together: tokens of one side found on
 the other, cut where they are far apart, are a passage if they are long enough and their shingle sets
 similar enough.
@@ -28,8 +29,8 @@ or starts at its least token; only runs whose half another document has are hash
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -448,7 +449,7 @@ def _halves(shared: DataFrame, width: int) -> DataFrame:
 
 
 def _members(spark: SparkSession, shared: DataFrame) -> DataFrame:
-    """(side, doc, cls, span, at, large, o_doc, o_cls, o_span): windows of buckets, with the first of each."""
+    """(side, doc, cls, span, at, large, several, o_doc, o_cls, o_span): windows of buckets, with the first of each."""
     halves = [F.shiftright("sides", 32), F.col("sides").bitwiseAND(F.lit(0xFFFFFFFF))]
     sides = F.array(*[F.when(h != 0, F.xxhash64("value", F.lit(k), h)) for k, h in enumerate(halves)])
     sided = shared.select(F.explode(F.array_compact(sides)).alias("side"), *_PLACE, "at")
@@ -459,7 +460,9 @@ def _members(spark: SparkSession, shared: DataFrame) -> DataFrame:
     stars = _with_first(dealt.withColumn("part", part), "side", "part")
     bucket = Window.partitionBy("side", "part")
     mixed = (F.min("cls").over(bucket) != F.max("cls").over(bucket)) | F.col("large").isNotNull()
-    members = stars.withColumn("mixed", mixed).filter("mixed").drop("part", "mixed")
+    # Two have met already.
+    several = (F.count("*").over(bucket) > 2) | F.col("large").isNotNull()
+    members = stars.withColumn("mixed", mixed).withColumn("several", several).filter("mixed").drop("part", "mixed")
     members = stored(spark, members, "members")
     unstore(spark, large)
     return members
@@ -479,44 +482,172 @@ def _by_documents(spark: SparkSession, met: DataFrame) -> DataFrame:
     return stored(spark, met.filter(earlier).groupBy(*by).agg(*windows), "window-pairs")
 
 
-#: Rows that are compared by tokens, in turns: what one shuffles is given up before the next.
-TURNS = 4
+#: Documents of a bucket that one task compares those with an open window with.
+BLOCK = 500
+#: Places of a window and others that are compared at once; more than any sum over places.
+HELD_TOKENS, FAR = 1 << 20, 1 << 50
 
-
-def _tokens_of(width: int, percent: int):
-    """Distinct tokens of windows by bucket (`key`), and how many of them a similar passage shares at least.
-
-    A passage of the window holds a run of `width` tokens, so it shares `percent` of those of the run that has
-    the fewest distinct ones.
-    """
+#: A window of a bucket: `own` says that it is met in this block, `asks` that it meets earlier ones.
+_OPEN = (
+    "side long, block int, doc long, cls long, span long, alone boolean, asks boolean, own boolean, "
+    "o_doc long, o_cls long, data binary"
+)
+_MET = "doc long, cls long, span long, o_doc long, o_cls long, o_span long"
+
+
+def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of windows, once in the block of their content, and in all of their bucket if they ask."""
+    fields = [f.split() for f in _OPEN.split(", ")]
+    for batch in _portions(batches, 100):
+        rows = []
+        columns = [batch.column(n).to_pylist() for n in ("doc", "cls", "windows", "tokens")]
+        for doc, cls, windows, data in zip(*columns, strict=True):
+            for w in windows:
+                content = data[SENT_BYTES * (w["span"] >> 32) : SENT_BYTES * ((w["span"] & 0xFFFFFFFF) + 1)]
+                home = zlib.crc32(content) % w["blocks"]
+                for block in range(w["blocks"]) if w["asks"] else (home,):
+                    row = (w["side"], block, doc, cls, w["span"], w["alone"], w["asks"], block == home)
+                    rows.append((*row, w["o_doc"], w["o_cls"], content))
+        made = list(zip(*rows, strict=True)) or [()] * len(fields)
+        arrays = [pa.array(c, _ARROW[kind]) for c, (_, kind) in zip(made, fields, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
+
+
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Rows of equal keys, which stand beside each other, over the bounds of batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = np.column_stack([batch.column(k).to_numpy() for k in keys])
+        cuts = [0, *(np.flatnonzero((np.diff(at, axis=0) != 0).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            key = tuple(at[a].tolist())
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _steps(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens that differ from the one before, and the first and last place of each."""
+    first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+    return tokens[first], first, np.append(first[1:], len(tokens)) - 1
+
+
+class Members:
+    """Tokens of windows, in ascending order, each with the windows that have it and its step there."""
+
+    def __init__(self, windows: list[np.ndarray]):
+        self.plain, sets = np.zeros(len(windows), bool), []
+        for k, window in enumerate(windows):
+            steps = _steps(window)[0]
+            tokens, place = np.unique(steps, return_index=True)
+            self.plain[k] = len(tokens) == len(steps)
+            sets.append((tokens, np.full(len(tokens), k), place))
+        tokens, member, place = map(np.concatenate, zip(*sets, strict=True))
+        order = np.argsort(tokens, kind="stable")
+        self.tokens, self.member, self.place = tokens[order], member[order], place[order]
+
+    def similar(self, window: np.ndarray, n: int, width: int, percent: int) -> np.ndarray:
+        """Which of the first `n` windows can have a passage like one of `window`.
+
+        A passage holds a run of `width` tokens and shares `percent` of its distinct ones, so as many as that of the
+        run that has the fewest. Where neither window comes back to a token, the steps between the ends of a passage
+        and those between their counterparts bound its similarity, so some two ends must be similar enough.
+        """
+        own, first, last = _steps(window)
+        low, high = np.searchsorted(self.tokens, own, "left"), np.searchsorted(self.tokens, own, "right")
+        sizes = high - low
+        at = np.repeat(np.arange(len(own)), sizes)
+        found = np.arange(len(at)) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
+        earlier = self.member[found] < n
+        at, found = at[earlier], found[earlier]
+        member, place = self.member[found], self.place[found]
+        alike = np.flatnonzero(100 * np.bincount(member, minlength=n) >= percent * _fewest(window, width))
+        if len(np.unique(own)) < len(own):
+            return alike
+        kept = [alike[~self.plain[alike]]]
+        alike = alike[self.plain[alike]]
+        # The last step at which a passage can start that ends at each.
+        start = np.searchsorted(first, last - width + 1, "right") - 1
+        ended = np.flatnonzero(start >= 0)
+        step = max(1, HELD_TOKENS // len(own))
+        for k in range(0, len(alike), step):
+            some = alike[k : k + step]
+            row = np.full(n, -1)
+            row[some] = np.arange(len(some))
+            row = row[member]
+            cell = row[row >= 0], at[row >= 0]
+            hits = np.zeros((len(some), len(own)), np.int64)
+            hits[cell] = 1
+            # (100 + percent) * both >= percent * (tokens of one + tokens of two), as a difference of two ends.
+            ends = (100 + percent) * np.cumsum(hits, axis=1) - percent * np.arange(len(own))
+            ends[cell] -= percent * place[row >= 0]
+            least = np.minimum.accumulate(np.where(hits == 1, ends, FAR), axis=1)[:, start[ended]]
+            near = np.where(hits == 1, ends, -FAR)[:, ended] - least + 100 - percent >= 0
+            kept.append(some[near.any(axis=1)])
+        return np.sort(np.concatenate(kept))
+
+
+def _fewest(tokens: np.ndarray, width: int) -> int:
+    """Distinct tokens of the run of `width` that has the fewest."""
+    order = np.argsort(tokens, kind="stable")
+    again = np.flatnonzero(np.diff(tokens[order]) == 0)
+    if not len(again):
+        return width
+    before = np.full(len(tokens), -1)
+    before[order[again + 1]] = order[again]
+    runs = np.lib.stride_tricks.sliding_window_view(before, width)
+    return int((runs < np.arange(len(runs))[:, None]).sum(1).min())
+
+
+def _meet(width: int, percent: int):
+    """Windows that ask, beside earlier ones of their bucket that can have a similar passage."""
+    names = [f.split()[0] for f in _MET.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _portions(batches):
-            keys, sizes, least = [np.zeros(0, np.int64)], [], []
-            columns = [batch.column(n).to_pylist() for n in ("side", "span")]
-            for side, span, data in zip(*columns, batch.column("tokens"), strict=True):
-                tokens = received(data.as_buffer())[span >> 32 : (span & 0xFFFFFFFF) + 1]
-                order = np.argsort(tokens, kind="stable")
-                again = np.flatnonzero(np.diff(tokens[order]) == 0)
-                before = np.full(len(tokens), -1)
-                before[order[again + 1]] = order[again]
-                runs = np.lib.stride_tricks.sliding_window_view(before, width)
-                fewest = width if not len(again) else int((runs < np.arange(len(runs))[:, None]).sum(1).min())
-                distinct = tokens[before < 0]
-                keys.append(mix(distinct + np.uint64(side & (1 << 64) - 1)).view(np.int64))
-                sizes.append(len(distinct))
-                least.append((percent * fewest + 99) // 100)
-            ids = np.repeat(batch.column("id").to_numpy(), sizes)
-            rows = [np.concatenate(keys), ids, np.repeat(np.array(least, np.int32), sizes)]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), names=["key", "id", "least"])
+        for group in _groups(batches, ("side", "block")):
+            rows = group.drop_columns(["side", "block", "data"]).to_pylist()
+            data = group.column("data").to_pylist()
+            # Of windows with the same tokens the earliest stands for all.
+            firsts: dict[bytes, int] = {}
+            for i, row in enumerate(rows):
+                if row["own"]:
+                    firsts.setdefault(data[i], i)
+            kept = [rows[i] for i in firsts.values()]
+            docs = np.array([o["doc"] for o in kept])
+            members = Members([received(d) for d in firsts]) if kept else None
+            met = []
+            for row, own in zip(rows, data, strict=True):
+                earlier = int(np.searchsorted(docs, row["doc"])) if row["asks"] and kept else 0
+                if not earlier:
+                    continue
+                for k in members.similar(received(own), earlier, width, percent).tolist():
+                    o = kept[k]
+                    # A single window has met the first of its bucket, if that is a single one too.
+                    if (o["doc"], o["cls"]) == (row["o_doc"], row["o_cls"]) and row["alone"] and o["alone"]:
+                        continue
+                    met.append((row["doc"], row["cls"], row["span"], o["doc"], o["cls"], o["span"]))
+            if met:
+                columns = zip(*met, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     return run
 
 
-def _left(members: DataFrame, spans: DataFrame) -> DataFrame:
-    """(id, side, doc, cls, span): documents of buckets; ids are odd if a window's centre is in no passage yet.
+def _left(spark: SparkSession, members: DataFrame, spans: DataFrame) -> DataFrame:
+    """(doc, cls, windows): windows by bucket (span: what those of a document span there) that are open or earlier.
 
-    Only buckets with such a window, and of equal texts only the first. `span` is what the windows span.
+    One is open, so that it asks the earlier ones of its bucket, if its centre is in no passage yet and there are
+    others than the first, which it has met. Of equal texts only the first takes part.
     """
     covered = (
         (F.col("doc") == F.col("s_doc"))
@@ -524,16 +655,31 @@ def _left(members: DataFrame, spans: DataFrame) -> DataFrame:
         & F.shiftright("at", 1).between(F.col("s"), F.col("e") - WORDS)
     )
     by = ["side", "doc", "cls"]
-    left = members.join(spans, covered, "left_anti").select(*by).distinct().withColumn("left", F.lit(True))
+    members = members.filter("several")
+    later = members.filter("large IS NOT NULL OR o_doc < doc")
+    left = stored(spark, later.join(spans, covered, "left_anti").select(*by).distinct(), "left")
     l, r = F.min(F.shiftright("span", 32)), F.max(F.col("span").bitwiseAND(F.lit(0xFFFFFFFF)))
-    spanned = members.groupBy(*by).agg(F.shiftleft(l, 32).bitwiseOR(r).alias("span")).join(left, by, "left")
-    one = Window.partitionBy("side", "cls").orderBy("doc")
-    firsts = spanned.withColumn("turn", F.row_number().over(one)).filter("turn = 1")
+    firsts = members.join(left.select("side"), "side", "left_semi").groupBy("side", "cls").agg(
+        F.min(F.struct("doc", "o_doc", "o_cls")).alias("first"), F.shiftleft(l, 32).bitwiseOR(r).alias("span"),
+        (F.min("span") == F.max("span")).alias("alone"),
+    )
+    firsts = firsts.select("side", "cls", "first.*", "span", "alone")
+    flagged = firsts.join(left.withColumn("left", F.lit(True)), by, "left")
     bucket = Window.partitionBy("side")
-    earlier = F.min("doc").over(bucket) < F.max(F.when(F.col("left"), F.col("doc"))).over(bucket)
-    kept = firsts.withColumn("earlier", earlier).filter("earlier")
-    odd = F.coalesce(F.col("left"), F.lit(False)).cast("long")
-    return kept.select((2 * F.monotonically_increasing_id() + odd).alias("id"), *by, "span")
+    ordered = bucket.orderBy("doc")
+    head = F.first(F.struct(F.col("doc").alias("o_doc"), F.col("cls").alias("o_cls"), "alone")).over(
+        bucket.orderBy("doc", "cls")
+    )
+    met = F.col("alone") & (F.col("head") == F.struct("o_doc", "o_cls", "alone"))
+    asks = F.col("left").isNotNull() & (F.col("before") > F.when(met, 1).otherwise(0))
+    asking = flagged.withColumn("head", head).withColumn("before", F.rank().over(ordered) - 1).withColumn("asks", asks)
+    last = F.max(F.when(F.col("asks"), F.col("doc"))).over(bucket)
+    kept = asking.withColumn("last", last).filter("doc <= last").withColumn("n", F.count("*").over(bucket))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    windows = F.collect_list(F.struct("side", "span", "alone", "asks", "o_doc", "o_cls", blocks)).alias("windows")
+    found = stored(spark, kept.groupBy("doc", "cls").agg(windows), "open-windows")
+    unstore(spark, left)
+    return found
 
 
 def _left_pairs(
@@ -541,30 +687,15 @@ def _left_pairs(
 ) -> DataFrame:
     """Pairs of documents of a bucket of which the later has a window there that is in no passage yet.
 
-    All earlier documents that can have a similar passage are paired with it: of the tokens that others of the
-    bucket have too, the two must share one of the rarest, all but the last that a passage shares at least.
+    All earlier documents whose tokens there can make a similar passage are paired with it.
     """
-    left = stored(spark, _left(members, spans), "left")
-    rows = stored(spark, marked_rows(tokens.select("doc", "cls", "tokens"), left.select("doc")), "left-tokens")
-    several = F.count("*").over(Window.partitionBy("key"))
-    parts = []
-    for k in range(TURNS):
-        asked = left.filter(F.pmod(F.xxhash64("side"), F.lit(TURNS)) == k).join(rows, ["doc", "cls"])
-        made = map_arrow(
-            asked.select("id", "side", "span", "tokens"), _tokens_of(width, percent), "key long, id long, least int"
-        )
-        parts.append(stored(spark, made.withColumn("n", several).filter("n > 1"), "left-shared"))
-    of = Window.partitionBy("id")
-    turn = F.row_number().over(of.orderBy("n", "key"))
-    counted = reduce(DataFrame.union, parts).withColumn("all", F.count("*").over(of)).withColumn("turn", turn)
-    counted = stored(spark, counted.drop("n"), "left-counted")
-    later = counted.filter("id % 2 = 1 AND turn <= all - least + 1").select("key", F.col("id").alias("a"), "least")
-    first = counted.select("key", F.col("id").alias("b"), "all")
-    met = later.join(first, "key").filter("a <> b AND all >= least").select("a", "b").distinct()
-    one = left.select(F.col("id").alias("a"), "doc", "cls", "span")
-    two = left.select("id", *[F.col(n).alias(f"o_{n}") for n in _PLACE]).withColumnRenamed("id", "b")
-    pairs = _by_documents(spark, met.join(one, "a").join(two, "b"))
-    unstore(spark, left, rows, counted, *parts)
+    left = _left(spark, members, spans)
+    rows = marked_rows(tokens.select("doc", "cls", "tokens"), left.select("doc"))
+    asked = left.join(rows, ["doc", "cls"]).select("doc", "cls", "windows", "tokens")
+    dealt = map_arrow(asked, _open_windows, _OPEN).repartition("side", "block")
+    met = map_arrow(dealt.sortWithinPartitions("side", "block", "doc"), _meet(width, percent), _MET)
+    pairs = _by_documents(spark, met)
+    unstore(spark, left)
     return pairs
 
 

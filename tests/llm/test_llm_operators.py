@@ -8,6 +8,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -299,6 +300,55 @@ def test_near_copies_beside_an_unlike_first(spark):
     assert [len(left[k]) for k in (1, 2, 3)] == [75, 75, 0]
 
 
+def test_windows_that_cannot_be_similar_are_not_met():
+    """The bound loses no pair that has a passage, with repeated words too, and keeps none that shares a line only."""
+    rng = np.random.default_rng(11)
+    for k in range(300):
+        text = [f"w{x}" for x in rng.integers(0, 400, 90)]
+        if k % 3 == 0:
+            text = [w for w in text[:30] for _ in range(int(rng.integers(1, 9)))]
+        if k % 7 == 0:
+            text = [*text[:40], *text[:50]]
+        copy = list(text)
+        for at in rng.integers(0, len(text), k % 5):
+            copy[at : at + int(rng.integers(0, 2))] = [f"edit{at}"] * int(rng.integers(0, 2))
+        unlike = [*passage_words(f"u{k}", 30), *text[20:40], *passage_words(f"v{k}", 30)]
+        windows = [passages._tokens(" ".join(t)) for t in (copy, unlike, text[30:], copy[:70])]
+        own = passages._tokens(" ".join(text))
+        met = set(passages.Members(windows).similar(own, 4, 46, 80).tolist())
+        assert 3 not in passages.Members(windows).similar(own, 3, 46, 80)
+        for i, theirs in enumerate(windows):
+            if passages.common_passages(own, np.arange(len(theirs)), theirs, [(0, len(own) - 1)], 46, 80):
+                assert i in met
+        assert k % 3 == 0 or k % 7 == 0 or 1 not in met
+
+
+def test_groups_over_batches():
+    keys = [0, 0, 1, 2, 2, 2, 2, 3, 3, 4]
+    whole = pa.RecordBatch.from_pydict({"side": keys, "block": [k // 2 for k in keys], "at": list(range(10))})
+    for n in (1, 2, 3, 4, 10):
+        parts = [whole.slice(k, n) for k in range(0, 10, n)]
+        found = [g.column("at").to_pylist() for g in passages._groups([*parts, whole.slice(0, 0)], ("side", "block"))]
+        assert found == [[0, 1], [2], [3, 4, 5, 6], [7, 8], [9]]
+
+
+def test_open_windows_meet_again_only_in_larger_buckets(spark, monkeypatch):
+    """Two texts around a line have met as first and second; a third asks the second only, in blocks too."""
+    less, line = frequent_lines()
+    a, b, c = (around(name, [*line[:5], *line]) for name in "abc")
+    copy = [*b[:10], "edited", *b[11:]]
+    asked = []
+    left = passages._left
+    monkeypatch.setattr(passages, "_left", lambda *x: asked.append(left(*x)) or asked[-1])
+    monkeypatch.setattr(passages, "unstore", lambda *x: None)
+    words_left(spark, [a, b])
+    assert asked[-1].count() == 0
+    for block in (500, 1):
+        monkeypatch.setattr(passages, "BLOCK", block)
+        found = words_left(spark, [a, b, c, copy])
+        assert [len(found[k]) for k in range(1, 5)] == [len(a), len(b), len(c), 0]
+
+
 def test_recall_of_near_passages(spark):
     """Passages of 60 to 120 words with edits, at the limit of similarity too, in texts of their own and mixed lines."""
     rng = np.random.default_rng(8)
