@@ -449,7 +449,7 @@ def _halves(shared: DataFrame, width: int) -> DataFrame:
 
 
 def _members(spark: SparkSession, shared: DataFrame) -> DataFrame:
-    """(side, doc, cls, span, at, large, several, o_doc, o_cls, o_span): windows of buckets, with the first of each."""
+    """(side, doc, cls, span, at, large, o_doc, o_cls, o_span): windows of buckets, with the first of each."""
     halves = [F.shiftright("sides", 32), F.col("sides").bitwiseAND(F.lit(0xFFFFFFFF))]
     sides = F.array(*[F.when(h != 0, F.xxhash64("value", F.lit(k), h)) for k, h in enumerate(halves)])
     sided = shared.select(F.explode(F.array_compact(sides)).alias("side"), *_PLACE, "at")
@@ -460,9 +460,7 @@ def _members(spark: SparkSession, shared: DataFrame) -> DataFrame:
     stars = _with_first(dealt.withColumn("part", part), "side", "part")
     bucket = Window.partitionBy("side", "part")
     mixed = (F.min("cls").over(bucket) != F.max("cls").over(bucket)) | F.col("large").isNotNull()
-    # Two have met already.
-    several = (F.count("*").over(bucket) > 2) | F.col("large").isNotNull()
-    members = stars.withColumn("mixed", mixed).withColumn("several", several).filter("mixed").drop("part", "mixed")
+    members = stars.withColumn("mixed", mixed).filter("mixed").drop("part", "mixed")
     members = stored(spark, members, "members")
     unstore(spark, large)
     return members
@@ -488,10 +486,7 @@ BLOCK = 500
 HELD_TOKENS, FAR = 1 << 20, 1 << 50
 
 #: A window of a bucket: `own` says that it is met in this block, `asks` that it meets earlier ones.
-_OPEN = (
-    "side long, block int, doc long, cls long, span long, alone boolean, asks boolean, own boolean, "
-    "o_doc long, o_cls long, data binary"
-)
+_OPEN = "side long, block int, doc long, cls long, span long, asks boolean, own boolean, data binary"
 _MET = "doc long, cls long, span long, o_doc long, o_cls long, o_span long"
 
 
@@ -506,8 +501,7 @@ def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 content = data[SENT_BYTES * (w["span"] >> 32) : SENT_BYTES * ((w["span"] & 0xFFFFFFFF) + 1)]
                 home = zlib.crc32(content) % w["blocks"]
                 for block in range(w["blocks"]) if w["asks"] else (home,):
-                    row = (w["side"], block, doc, cls, w["span"], w["alone"], w["asks"], block == home)
-                    rows.append((*row, w["o_doc"], w["o_cls"], content))
+                    rows.append((w["side"], block, doc, cls, w["span"], w["asks"], block == home, content))
         made = list(zip(*rows, strict=True)) or [()] * len(fields)
         arrays = [pa.array(c, _ARROW[kind]) for c, (_, kind) in zip(made, fields, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
@@ -631,11 +625,7 @@ def _meet(width: int, percent: int):
                 if not earlier:
                     continue
                 for k in members.similar(received(own), earlier, width, percent).tolist():
-                    o = kept[k]
-                    # A single window has met the first of its bucket, if that is a single one too.
-                    if (o["doc"], o["cls"]) == (row["o_doc"], row["o_cls"]) and row["alone"] and o["alone"]:
-                        continue
-                    met.append((row["doc"], row["cls"], row["span"], o["doc"], o["cls"], o["span"]))
+                    met.append(tuple(x[n] for x in (row, kept[k]) for n in ("doc", "cls", "span")))
             if met:
                 columns = zip(*met, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
@@ -646,8 +636,9 @@ def _meet(width: int, percent: int):
 def _left(spark: SparkSession, members: DataFrame, spans: DataFrame) -> DataFrame:
     """(doc, cls, windows): windows by bucket (span: what those of a document span there) that are open or earlier.
 
-    One is open, so that it asks the earlier ones of its bucket, if its centre is in no passage yet and there are
-    others than the first, which it has met. Of equal texts only the first takes part.
+    One is open, so that it asks the earlier ones of its bucket, if its centre is in no passage yet. It asks the
+    first too, which it has met: then all windows of the two documents were verified together.
+    Of equal texts only the first takes part.
     """
     covered = (
         (F.col("doc") == F.col("s_doc"))
@@ -655,28 +646,20 @@ def _left(spark: SparkSession, members: DataFrame, spans: DataFrame) -> DataFram
         & F.shiftright("at", 1).between(F.col("s"), F.col("e") - WORDS)
     )
     by = ["side", "doc", "cls"]
-    members = members.filter("several")
     later = members.filter("large IS NOT NULL OR o_doc < doc")
     left = stored(spark, later.join(spans, covered, "left_anti").select(*by).distinct(), "left")
     l, r = F.min(F.shiftright("span", 32)), F.max(F.col("span").bitwiseAND(F.lit(0xFFFFFFFF)))
     firsts = members.join(left.select("side"), "side", "left_semi").groupBy("side", "cls").agg(
-        F.min(F.struct("doc", "o_doc", "o_cls")).alias("first"), F.shiftleft(l, 32).bitwiseOR(r).alias("span"),
-        (F.min("span") == F.max("span")).alias("alone"),
-    )
-    firsts = firsts.select("side", "cls", "first.*", "span", "alone")
+        F.min("doc").alias("doc"), F.shiftleft(l, 32).bitwiseOR(r).alias("span")
+    )
     flagged = firsts.join(left.withColumn("left", F.lit(True)), by, "left")
     bucket = Window.partitionBy("side")
-    ordered = bucket.orderBy("doc")
-    head = F.first(F.struct(F.col("doc").alias("o_doc"), F.col("cls").alias("o_cls"), "alone")).over(
-        bucket.orderBy("doc", "cls")
-    )
-    met = F.col("alone") & (F.col("head") == F.struct("o_doc", "o_cls", "alone"))
-    asks = F.col("left").isNotNull() & (F.col("before") > F.when(met, 1).otherwise(0))
-    asking = flagged.withColumn("head", head).withColumn("before", F.rank().over(ordered) - 1).withColumn("asks", asks)
+    asks = F.col("left").isNotNull() & (F.col("doc") > F.min("doc").over(bucket))
     last = F.max(F.when(F.col("asks"), F.col("doc"))).over(bucket)
-    kept = asking.withColumn("last", last).filter("doc <= last").withColumn("n", F.count("*").over(bucket))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
-    windows = F.collect_list(F.struct("side", "span", "alone", "asks", "o_doc", "o_cls", blocks)).alias("windows")
+    kept = flagged.withColumn("asks", asks).withColumn("last", last).filter("doc <= last")
+    blocks = F.ceil(F.count("*").over(bucket) / BLOCK).cast("int")
+    windows = F.collect_list(F.struct("side", "span", "asks", "blocks")).alias("windows")
+    kept = kept.withColumn("blocks", blocks)
     found = stored(spark, kept.groupBy("doc", "cls").agg(windows), "open-windows")
     unstore(spark, left)
     return found
