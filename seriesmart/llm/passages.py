@@ -34,13 +34,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmart.llm.common import add_columns, map_arrow, n_words, stored, unstore
+from seriesmart.llm.common import add_columns, map_arrow, n_words, slices, stored, unstore
 from seriesmart.llm.marks import marked_rows
-from seriesmart.llm.shingles import WORDS, mix, runs_at, shingles, word_hashes, words_of
+from seriesmart.llm.shingles import WORDS, Runs, hashes_of_texts, mix, shingles, word_hashes, words_of
 
 #: A passage has so many words at least, and a shingle similarity of PERCENT / 100.
 PASSAGE_WORDS = 50
@@ -66,31 +67,50 @@ def _sliding(v: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(v[:, : v.shape[1] - rest], v[:, rest:]) if rest else v
 
 
-def compact_windows(tokens: np.ndarray, width: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each hash: its number, values, l, c and r of the windows of at least `width` tokens."""
-    if len(tokens) < width:
+def _nearest(values: np.ndarray, group: np.ndarray, step: int, stops) -> np.ndarray:
+    """For each value, the nearest in direction `step` that stops it or is of another group; there may be none.
+
+    Those between do not stop it, nor do those between one that does not and what that has found so far.
+    """
+    n = len(values)
+    to = np.arange(n) + step
+    active = np.arange(n)
+    values, group = np.append(values, np.uint64(0)), np.append(group, -1)  # also the one before the first
+    while len(active):
+        at = to[active]
+        going = (group[at] == group[active]) & ~stops(values[at], values[active])
+        active = active[going]
+        to[active] = to[at[going]]
+    return to
+
+
+def compact_windows(
+    tokens: np.ndarray, width: int, lengths: np.ndarray | None = None
+) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each hash: its number, values, l, c and r of the windows of at least `width` tokens.
+
+    `lengths` are those of the texts that follow each other in `tokens`; else it is one.
+    """
+    n = len(tokens)
+    if n < width:
         return []
+    ends = np.cumsum([n] if lengths is None else lengths)
     v = mix(tokens[None, :] ^ SEEDS[:HASHES, None])
     least = _sliding(v, width, np.minimum)
+    across = (ends[:-1, None] + np.arange(1 - width, 0)).ravel()
+    least[:, across[(across >= 0) & (across <= n - width)]] = 0
     padded = np.pad(least, ((0, 0), (width - 1, width - 1)))
-    central = _sliding(padded, width, np.maximum) == v
-    out = []
-    for k in range(HASHES):
-        at = np.flatnonzero(central[k])
-        values = v[k, at]
-        n = len(at)
-        left, right, stack = [0] * n, [len(tokens)] * n, []
-        where, ordered = at.tolist(), values.tolist()
-        for i, x in enumerate(ordered):
-            while stack and ordered[stack[-1]] > x:
-                right[stack.pop()] = where[i]
-            if stack:
-                left[i] = where[stack[-1]] + 1
-            stack.append(i)
-        l, r = np.array(left), np.array(right) - 1
-        kept = r - l + 1 >= width
-        out.append((k, values[kept], l[kept], at[kept], r[kept]))
-    return out
+    hashed, at = np.nonzero(_sliding(padded, width, np.maximum) == v)
+    values, text = v[hashed, at], np.searchsorted(ends, at, "right")
+    group = hashed * len(ends) + text
+    starts, beside = ends - np.diff(ends, prepend=0), np.append(at, 0)
+    before = _nearest(values, group, -1, np.less_equal)
+    after = _nearest(values, group, 1, np.less)
+    group = np.append(group, -1)
+    l = np.where(group[before] == group[:-1], beside[before] + 1, starts[text])
+    r = np.where(group[after] == group[:-1], beside[after], ends[text]) - 1
+    kept = r - l + 1 >= width
+    return [(k, *(x[kept & (hashed == k)] for x in (values, l, at, r))) for k in range(HASHES)]
 
 
 #: Bytes of a token that are stored and sent, and tokens between windows that are sent with them.
@@ -119,35 +139,61 @@ def received(data: bytes) -> np.ndarray:
     return rows.view("<u8").ravel()
 
 
+def _before(tokens: np.ndarray) -> np.ndarray:
+    """For each token, the place of the same token before it; -1 without."""
+    order = np.argsort(tokens, kind="stable")
+    again = np.flatnonzero(tokens[order[1:]] == tokens[order[:-1]])
+    before = np.full(len(tokens), -1)
+    before[order[again + 1]] = order[again]
+    return before
+
+
 def common_passages(
-    a: np.ndarray, at_b: np.ndarray, b: np.ndarray, windows: list[tuple[int, int]], width: int, percent: int
+    a: np.ndarray,
+    at_b: np.ndarray,
+    b: np.ndarray,
+    windows: list[tuple[int, int]],
+    width: int,
+    percent: int,
+    before_a: np.ndarray | None = None,
 ) -> list[tuple[int, int, int, int, float]]:
     """Token ranges (start, end, other start, other end, similarity) of a that b has as well.
 
     `b` are the tokens at the positions `at_b` of the other document, `windows` those of a that share
-    a signature with it.
+    a signature with it. `before_a` is `_before(a)`, for more than one call.
     """
-    in_a = np.zeros(len(a), bool)
+    if not len(b):
+        return []
+    in_a, beside = np.zeros(len(a), bool), np.zeros(len(a), bool)
     for l, r in windows:
         in_a[l : r + 1] = True
+        # A passage goes on from one window to another over such a gap.
+        beside[l : r + 1 + GAPS[0]] = True
     sorted_b = np.argsort(b, kind="stable")
     values = b[sorted_b]
-    own = np.flatnonzero(in_a)
-    at = np.searchsorted(values, a[own])
-    hits = own[at < len(values)]
-    hits = hits[values[at[at < len(values)]] == a[hits]]
+    at = beside.nonzero()[0]
+    low = values.searchsorted(a[at])
+    low[low == len(values)] = 0
+    same = values[low] == a[at]
+    hits, low = at[same], low[same]
+    shared = _Shared(a, _before(a) if before_a is None else before_a, at_b, sorted_b, values, hits, low)
     found = []
-    waiting = [(hits, 0)]
+    waiting = [(in_a[hits].nonzero()[0], 0)]
     while waiting:
         whole, level = waiting.pop()
-        for part in np.split(whole, np.flatnonzero(np.diff(whole) > GAPS[level]) + 1):
-            if not len(part) or part[-1] - part[0] + 1 < width:
-                continue
-            passage, rest = _aligned(a, b, part, at_b, sorted_b, values, width, percent)
+        if not len(whole):
+            continue
+        places = hits[whole]
+        cuts = (places[1:] - places[:-1] > GAPS[level]).nonzero()[0] + 1
+        first, last = np.append(0, cuts), np.append(cuts, len(whole))
+        long = places[last - 1] - places[first] + 1 >= width
+        for f, e in zip(first[long].tolist(), last[long].tolist(), strict=True):
+            part = whole[f:e]
+            passage, rest = shared.aligned(part, width, percent)
             if passage:
                 found.append(passage)
                 # Tokens that lie elsewhere in b may be further passages.
-                waiting.append((part[(part < passage[0]) | (part >= passage[1])], level))
+                waiting.append((part[(places[f:e] < passage[0]) | (places[f:e] >= passage[1])], level))
             elif level + 1 < len(GAPS):
                 waiting.append((part, level + 1))
             else:
@@ -155,30 +201,63 @@ def common_passages(
     return found
 
 
-def _aligned(
-    a, b, part, at_b, sorted_b, values, width, percent
-) -> tuple[tuple[int, int, int, int, float] | None, np.ndarray]:
-    """The passage of the tokens `part` of a, if b has one like it, and the tokens far from its line."""
-    low = np.searchsorted(values, a[part], "left")
-    high = np.searchsorted(values, a[part], "right")
-    # A token's counterpart is the occurrence nearest to the line through a token that b has once.
-    single = np.flatnonzero(high - low == 1)
-    middle = int(single[len(single) // 2]) if len(single) else 0
-    shift = int(at_b[sorted_b[low[middle]]]) - int(part[middle])
-    other = at_b[sorted_b[low]]
-    for k in np.flatnonzero(high - low > 1):
-        places = at_b[sorted_b[low[k] : high[k]]]
-        other[k] = places[np.abs(places - part[k] - shift).argmin()]
-    near = np.abs(other - part - shift) <= (part[-1] - part[0] + 1) // 4 + GAPS[0]
-    rest, part, other = part[~near], part[near], other[near]
-    if part[-1] - part[0] + 1 < width:
-        return None, rest
-    start, end, first, last = int(part[0]), int(part[-1]), int(other.min()), int(other.max())
-    one, two = np.unique(a[start : end + 1]), np.unique(b[(at_b >= first) & (at_b <= last)])
-    both = len(np.intersect1d(one, two, assume_unique=True))
-    union = len(one) + len(two) - both
-    alike = 100 * both >= percent * union
-    return (start, end + 1, first, last + 1, both / union) if alike else None, rest
+class _Shared:
+    """Tokens at `hits` of a that b has too, the first of each at `low` of b's sorted `values`."""
+
+    def __init__(self, a, before_a, at_b, sorted_b, values, hits, low):
+        self.before_a, self.at_b, self.hits = before_a, at_b, hits
+        new = np.append(True, values[1:] != values[:-1])
+        number = new.cumsum() - 1
+        starts = np.append(new.nonzero()[0], len(values))
+        self.low, self.number = low, number[low]
+        self.sizes = starts[self.number + 1] - low
+        # Places of tokens in b, token by token.
+        self.places = at_b[sorted_b]
+        self.span = int(at_b[-1]) + 1
+        self.keys = number * self.span + self.places
+        again = (~new).nonzero()[0]
+        self.before_b = np.full(len(values), -1)
+        self.before_b[sorted_b[again]] = sorted_b[again - 1]
+
+    def aligned(
+        self, part: np.ndarray, width: int, percent: int
+    ) -> tuple[tuple[int, int, int, int, float] | None, np.ndarray]:
+        """The passage of some hits, if b has one like it, and the hits far from its line."""
+        at, low, sizes = self.hits[part], self.low[part], self.sizes[part]
+        # A token's counterpart is the occurrence nearest to the line through a token that b has once.
+        single = (sizes == 1).nonzero()[0]
+        middle = int(single[len(single) // 2]) if len(single) else 0
+        other = self.places[low]
+        shift = int(other[middle]) - int(at[middle])
+        if len(single) < len(part):
+            several = (sizes > 1).nonzero()[0]
+            line, least = at[several] + shift, low[several]
+            most = least + sizes[several] - 1
+            wanted = self.number[part[several]] * self.span + line.clip(0, self.span - 1)
+            after = self.keys.searchsorted(wanted)
+            after, before = np.minimum(after, most), np.maximum(after - 1, least)
+            after, before = self.places[after], self.places[before]
+            other[several] = np.where(np.abs(before - line) <= np.abs(after - line), before, after)
+        near = np.abs(other - at - shift) <= (at[-1] - at[0] + 1) // 4 + GAPS[0]
+        rest = part[~near]
+        if len(rest):
+            part, at, other = part[near], at[near], other[near]
+        if at[-1] - at[0] + 1 < width:
+            return None, rest
+        start, end, first, last = int(at[0]), int(at[-1]), int(other.min()), int(other.max())
+        one = np.count_nonzero(self.before_a[start : end + 1] < start)
+        p, q = self.at_b.searchsorted((first, last + 1)).tolist()
+        two = np.count_nonzero(self.before_b[p:q] < p)
+        # Hits from start to end, the first of each token there.
+        f, e = self.hits.searchsorted((start, end + 1)).tolist()
+        number = self.number[f:e][self.before_a[self.hits[f:e]] < start] * self.span
+        at = self.keys.searchsorted(number + first)
+        at[at == len(self.keys)] = 0
+        found = self.keys[at]
+        both = np.count_nonzero((found >= number + first) & (found <= number + last))
+        union = one + two - both
+        alike = 100 * both >= percent * union
+        return (start, end + 1, first, last + 1, both / union) if alike else None, rest
 
 
 def runs_of(l, c, r, width: int):
@@ -186,7 +265,7 @@ def runs_of(l, c, r, width: int):
     return np.maximum(l, c - width + 1), np.minimum(c, r - width + 1)
 
 
-def half_keys(tokens: np.ndarray, l, c, r, wanted: np.ndarray, width: int) -> tuple[pa.Array, pa.Array]:
+def half_keys(hashed: Runs, l, c, r, wanted: np.ndarray, width: int) -> tuple[pa.Array, pa.Array]:
     """Hashes of the halves of runs that end and that start at the centres of windows; null where no run has it.
 
     A run's least token is the centre of the one window that holds it. Its half ends there if the run
@@ -198,7 +277,7 @@ def half_keys(tokens: np.ndarray, l, c, r, wanted: np.ndarray, width: int) -> tu
     for has, start, kind in ((first <= c - half + 1, c - half + 1, 1), (last > c - half + 1, c, 0)):
         kept = has & wanted
         key = np.zeros(len(c), np.int64)
-        key[kept] = mix(runs_at(tokens, start[kept], half) + np.uint64(kind)).view(np.int64)
+        key[kept] = mix(hashed.at(start[kept], half) + np.uint64(kind)).view(np.int64)
         keys.append(pa.array(key, mask=~kept))
     return keys[0], keys[1]
 
@@ -219,16 +298,41 @@ def _portions(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[p
             yield batch.slice(k, rows)
 
 
+#: Bytes of texts and of tokens that are worked on at once.
+TEXT_BYTES, TOKEN_BYTES = 4 << 20, 1 << 20
+
+
+def _column_of(tokens: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Tokens of texts that follow each other, as bytes of each text."""
+    offsets = np.append(0, np.cumsum(lengths * SENT_BYTES)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(sent(tokens))])
+
+
+def _tokens_in(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts, one after the other, and the number of each text's."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    whole = received(data[int(offsets[0]) : int(offsets[-1])]) if data and len(column) else np.zeros(0, np.uint64)
+    return whole, np.diff(offsets.astype(np.int64)) // SENT_BYTES
+
+
 def _tokenize(width: int):
     """Rows with `width` tokens at least, their number of words and those tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _portions(batches):
-            data = [sent(_tokens(t.as_py())) for t in batch.column("text")]
-            kept = pa.array([len(d) >= width * SENT_BYTES for d in data])
-            words = pa.array([len(d) // SENT_BYTES + WORDS - 1 for d in data], pa.int64())
-            rows = [batch.column("doc"), batch.column("cls"), words, pa.array(data, pa.binary())]
-            yield pa.RecordBatch.from_arrays([c.filter(kept) for c in rows], names=["doc", "cls", "n", "tokens"])
+        for batch in batches:
+            for part in slices(batch, "text", TEXT_BYTES):
+                words, counts = hashes_of_texts(part.column("text"))
+                kept = counts >= width + WORDS - 1
+                words, counts = words[np.repeat(kept, counts)], counts[kept]
+                if not len(counts):
+                    continue
+                within = np.ones(len(words), bool)
+                within[(np.cumsum(counts)[:, None] - np.arange(1, WORDS)).ravel()] = False
+                tokens = shingles(words)[within[: 1 - WORDS]] & np.uint64((1 << 8 * SENT_BYTES) - 1)
+                columns = [part.column(n).filter(pa.array(kept)) for n in ("doc", "cls")]
+                columns += [pa.array(counts), _column_of(tokens, counts - WORDS + 1)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "cls", "n", "tokens"])
 
     return run
 
@@ -237,12 +341,12 @@ def _packed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return high.astype(np.int64) << 32 | low.astype(np.int64)
 
 
-#: `span` is l << 32 | r, `sides` the hashes of the tokens left and right of the centre, 0 without, `at` is
-#: c << 1 | number of the hash. Windows of the first hash have the halves of runs that end (`early`) or start
-#: (`late`) at their centre. `turn` is 0 for the first window that a task has of a value, `followed` if it
-#: has more.
+#: `span` is l << 32 | r, `ends` and `starts` the buckets of the tokens left and right of the centre, null without
+#: room, `at` is c << 1 | number of the hash. Windows of the first hash have the halves of runs that end (`early`) or
+#: start (`late`) at their centre. `key` is the value for the first window that a task has of it, else of this window
+#: alone; then, and if the first is followed by others, the value is `known` to be in several.
 _WINDOWS = (
-    "value long, turn long, doc long, cls long, span long, sides long, at long, early long, late long, followed boolean"
+    "key long, doc long, cls long, span long, ends long, starts long, at long, early long, late long, known boolean"
 )
 
 
@@ -252,34 +356,41 @@ def _windows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns = 0
         for batch in _portions(batches, 4000):
-            texts = [received(t.as_buffer()) for t in batch.column("tokens")]
             parts: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(6)]
-            start = 0
-            for i, tokens in enumerate(texts):
-                for k, values, l, c, r in compact_windows(tokens, width):
-                    n = len(values)
-                    for held, x in zip(parts, (values, np.full(n, i), np.full(n, k), l + start, c + start, r + start), strict=True):
+            texts, start, above = [np.zeros(0, np.uint64)], 0, 0
+            for part in slices(batch, "tokens", TOKEN_BYTES):
+                tokens, lengths = _tokens_in(part.column("tokens"))
+                ends = np.cumsum(lengths)
+                for k, values, l, c, r in compact_windows(tokens, width, lengths):
+                    row = np.searchsorted(ends, c, "right") + above
+                    for held, x in zip(parts, (values, row, np.full(len(c), k), l + start, c + start, r + start), strict=True):
                         held.append(x.view(np.int64))
-                start += len(tokens)
+                texts.append(tokens)
+                start, above = start + len(tokens), above + len(lengths)
             value, row, k, l, c, r = map(np.concatenate, parts)
+            tokens = np.concatenate(texts)
+            hashed = Runs(tokens)
             # The number of the hash is part of the value that windows are joined by.
             value = mix(value.view(np.uint64) + k.view(np.uint64)).view(np.int64)
             order = np.argsort(value, kind="stable")
             value, row, k, l, c, r = (x[order] for x in (value, row, k, l, c, r))
             new = np.diff(value, prepend=value[:1] + 1) != 0
-            turn = np.where(new, 0, np.arange(turns + 1, turns + len(value) + 1))
+            turn = np.arange(turns + 1, turns + len(value) + 1)
             turns += len(value)
-            followed = new & ~np.append(new[1:], True)[: len(new)]
-            tokens = np.concatenate([np.zeros(0, np.uint64), *texts])
-            left, right = (
-                np.where(room >= SIDE - 1, (runs_at(tokens, at, SIDE) >> np.uint64(33)).astype(np.int64) + 1, 0)
-                for room, at in ((c - l, np.maximum(c - SIDE + 1, 0)), (r - c, np.minimum(c, max(0, len(tokens) - SIDE))))
-            )
-            early, late = half_keys(tokens, l, c, r, k == 0, width)
-            first = np.cumsum([0, *map(len, texts)])[row]
+            key = np.where(new, value, mix(value.view(np.uint64) + turn.view(np.uint64)).view(np.int64))
+            known = ~new | ~np.append(new[1:], True)[: len(new)]
+            sides = []
+            for kind, room, at in ((0, c - l, c - SIDE + 1), (1, r - c, c)):
+                has = room >= SIDE - 1
+                side = np.zeros(len(c), np.uint64)
+                side[has] = mix(value[has].view(np.uint64) + hashed.at(at[has], SIDE) + np.uint64(kind))
+                sides.append(pa.array(side.view(np.int64), mask=~has))
+            early, late = half_keys(hashed, l, c, r, k == 0, width)
+            lengths = pc.binary_length(batch.column("tokens")).to_numpy() // SENT_BYTES
+            first = (np.cumsum(lengths) - lengths)[row]
             doc, cls = (batch.column(n).to_numpy()[row] for n in ("doc", "cls"))
-            made = (value, turn, doc, cls, _packed(l - first, r - first), _packed(left, right), (c - first) << 1 | k)
-            yield pa.RecordBatch.from_arrays([*map(pa.array, (*made, early, late, followed))], names=names)
+            made = (key, doc, cls, _packed(l - first, r - first), *sides, (c - first) << 1 | k, early, late, known)
+            yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in made], names=names)
 
     return run
 
@@ -314,12 +425,13 @@ def _verify(width: int, percent: int):
         for batch in _portions(batches):
             rows = []
             columns = [batch.column(c).to_pylist() for c in ("doc", "cls", "other", "own", "theirs", "sent")]
-            last, tokens = None, None
+            last, tokens, before = None, None, None
             for k, (doc, cls, other, own, theirs, data) in enumerate(zip(*columns, strict=True)):
                 if (doc, cls) != last:  # the pairs of a document stand beside each other
                     last, tokens = (doc, cls), received(batch.column("tokens")[k].as_buffer())
+                    before = _before(tokens)
                 at = positions(_spans(theirs))
-                for s, e, p, q, near in common_passages(tokens, at, received(data), _spans(own), width, percent):
+                for s, e, p, q, near in common_passages(tokens, at, received(data), _spans(own), width, percent, before):
                     # Tokens s to e - 1 are words s to e + 3.
                     rows.append((doc, cls, other, s, e + WORDS - 1, p, q + WORDS - 1, near))
             found = list(zip(*rows, strict=True)) or [()] * len(names)
@@ -350,19 +462,14 @@ def _runs(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _portions(batches, 100):
-            parts: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
-            columns = [batch.column(c) for c in ("doc", "cls", "runs", "tokens")]
-            for doc, cls, runs, data in zip(*columns, strict=True):
-                tokens = received(data.as_buffer())
-                at = np.concatenate([np.arange(a, b + 1) for a, b in _spans(runs.as_py())])
-                values = shingles(tokens, width)[at].view(np.int64)
-                whose = [np.full(len(at), x.as_py()) for x in (doc, cls)]
-                for held, x in zip(parts, (values, *whose, at), strict=True):
-                    held.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(p), t) for p, t in zip(parts, [pa.int64()] * 3 + [pa.int32()], strict=True)],
-                names=["run", "doc", "cls", "at"],
-            )
+            tokens, lengths = _tokens_in(batch.column("tokens"))
+            places = [np.concatenate([np.arange(a, b + 1) for a, b in _spans(r)]) for r in batch.column("runs").to_pylist()]
+            counts = [len(p) for p in places]
+            at = np.concatenate([np.zeros(0, np.int64), *places])
+            values = Runs(tokens).at(at + np.repeat(np.cumsum(lengths) - lengths, counts), width).view(np.int64)
+            whose = [np.repeat(batch.column(n).to_numpy(), counts) for n in ("doc", "cls")]
+            columns = zip((values, *whose, at), [pa.int64()] * 3 + [pa.int32()], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=["run", "doc", "cls", "at"])
 
     return run
 
@@ -428,10 +535,10 @@ def _shared(spark: SparkSession, tokens: DataFrame, width: int) -> DataFrame:
     """Windows whose value another document has."""
     made = map_arrow(tokens.select("doc", "cls", "tokens"), _windows(width), _WINDOWS)
     # Later windows of a value within a task are each alone; the first says that they are there.
-    alike = Window.partitionBy("value", "turn")
+    alike = Window.partitionBy("key")
     beside = F.min("cls").over(alike) != F.max("cls").over(alike)
-    shared = made.withColumn("shared", beside | F.col("followed") | (F.col("turn") > 0)).filter("shared")
-    return stored(spark, shared.drop("turn", "followed", "shared"), "shared")
+    shared = made.withColumn("shared", beside | F.col("known")).filter("shared")
+    return stored(spark, shared.drop("key", "known", "shared"), "shared")
 
 
 def _halves(shared: DataFrame, width: int) -> DataFrame:
@@ -441,8 +548,8 @@ def _halves(shared: DataFrame, width: int) -> DataFrame:
     first, last, turn = F.greatest(l, c - width + 1), F.least(c, r - width + 1), c - half + 1
     early = F.struct(F.col("early").alias("half"), first.alias("first"), F.least(last, turn).alias("last"))
     late = F.struct(F.col("late").alias("half"), F.greatest(first, turn + 1).alias("first"), last.alias("last"))
-    both = F.array(F.when(F.col("early").isNotNull(), early), F.when(F.col("late").isNotNull(), late))
-    made = shared.filter(F.col("at").bitwiseAND(mask) == 0).select("doc", "cls", F.inline(F.array_compact(both)))
+    made = shared.filter(F.col("at").bitwiseAND(mask) == 0).select("doc", "cls", F.inline(F.array(early, late)))
+    made = made.filter("half IS NOT NULL")
     alike = Window.partitionBy("half")
     several = F.min("cls").over(alike) != F.max("cls").over(alike)
     return made.withColumn("several", several).filter("several").drop("several")
@@ -450,9 +557,7 @@ def _halves(shared: DataFrame, width: int) -> DataFrame:
 
 def _members(spark: SparkSession, shared: DataFrame) -> DataFrame:
     """(side, doc, cls, span, at, large, o_doc, o_cls, o_span): windows of buckets, with the first of each."""
-    halves = [F.shiftright("sides", 32), F.col("sides").bitwiseAND(F.lit(0xFFFFFFFF))]
-    sides = F.array(*[F.when(h != 0, F.xxhash64("value", F.lit(k), h)) for k, h in enumerate(halves)])
-    sided = shared.select(F.explode(F.array_compact(sides)).alias("side"), *_PLACE, "at")
+    sided = shared.select(F.explode(F.array("ends", "starts")).alias("side"), *_PLACE, "at").filter("side IS NOT NULL")
     large = sided.groupBy("side").agg(F.count("*").alias("n")).filter(F.col("n") > LARGE)
     large = stored(spark, large.select(F.col("side").alias("large")), "large")
     dealt = sided.join(large, F.col("side") == F.col("large"), "left")
@@ -540,15 +645,18 @@ class Members:
     """Tokens of windows, in ascending order, each with the windows that have it and its step there."""
 
     def __init__(self, windows: list[np.ndarray]):
-        self.plain, sets = np.zeros(len(windows), bool), []
-        for k, window in enumerate(windows):
-            steps = _steps(window)[0]
-            tokens, place = np.unique(steps, return_index=True)
-            self.plain[k] = len(tokens) == len(steps)
-            sets.append((tokens, np.full(len(tokens), k), place))
-        tokens, member, place = map(np.concatenate, zip(*sets, strict=True))
+        lengths = np.array([len(w) for w in windows])
+        tokens, member = np.concatenate(windows), np.repeat(np.arange(len(windows)), lengths)
+        step = np.append(True, tokens[1:] != tokens[:-1])
+        step[np.cumsum(lengths)[:-1]] = True
+        tokens, member = tokens[step], member[step]
+        steps = np.bincount(member, minlength=len(windows))
+        place = np.arange(len(tokens)) - np.repeat(np.cumsum(steps) - steps, steps)
         order = np.argsort(tokens, kind="stable")
-        self.tokens, self.member, self.place = tokens[order], member[order], place[order]
+        tokens, member = tokens[order], member[order]
+        new = np.append(True, (tokens[1:] != tokens[:-1]) | (member[1:] != member[:-1]))
+        self.tokens, self.member, self.place = tokens[new], member[new], place[order][new]
+        self.plain = np.bincount(self.member, minlength=len(windows)) == steps
 
     def similar(self, window: np.ndarray, n: int, width: int, percent: int) -> np.ndarray:
         """Which of the first `n` windows can have a passage like one of `window`.
@@ -557,7 +665,12 @@ class Members:
         run that has the fewest. Where neither window comes back to a token, the steps between the ends of a passage
         and those between their counterparts bound its similarity, so some two ends must be similar enough.
         """
-        own, first, last = _steps(window)
+        ordered = np.sort(window)
+        if once := bool((ordered[1:] != ordered[:-1]).all()):
+            own, first, fewest = window, np.arange(len(window)), width
+            last = first
+        else:
+            (own, first, last), fewest = _steps(window), _fewest(window, width)
         low, high = np.searchsorted(self.tokens, own, "left"), np.searchsorted(self.tokens, own, "right")
         sizes = high - low
         at = np.repeat(np.arange(len(own)), sizes)
@@ -565,8 +678,8 @@ class Members:
         earlier = self.member[found] < n
         at, found = at[earlier], found[earlier]
         member, place = self.member[found], self.place[found]
-        alike = np.flatnonzero(100 * np.bincount(member, minlength=n) >= percent * _fewest(window, width))
-        if len(np.unique(own)) < len(own):
+        alike = np.flatnonzero(100 * np.bincount(member, minlength=n) >= percent * fewest)
+        if not len(alike) or not once and len(np.unique(own)) < len(own):
             return alike
         kept = [alike[~self.plain[alike]]]
         alike = alike[self.plain[alike]]
@@ -603,32 +716,50 @@ def _fewest(tokens: np.ndarray, width: int) -> int:
     return int((runs < np.arange(len(runs))[:, None]).sum(1).min())
 
 
+#: Pairs of windows that are returned at once, or those of one bucket.
+MET_ROWS = 10_000
+
+
+def _joined(rows: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)], names=names)
+
+
 def _meet(width: int, percent: int):
     """Windows that ask, beside earlier ones of their bucket that can have a similar passage."""
     names = [f.split()[0] for f in _MET.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for group in _groups(batches, ("side", "block")):
-            rows = group.drop_columns(["side", "block", "data"]).to_pylist()
+            place = [group.column(n).to_numpy() for n in _PLACE]
+            doc, asks, home = place[0], group.column("asks").to_numpy(), group.column("own").to_numpy()
+            if not asks.any() or not home.any():
+                continue
             data = group.column("data").to_pylist()
             # Of windows with the same tokens the earliest stands for all.
             firsts: dict[bytes, int] = {}
-            for i, row in enumerate(rows):
-                if row["own"]:
-                    firsts.setdefault(data[i], i)
-            kept = [rows[i] for i in firsts.values()]
-            docs = np.array([o["doc"] for o in kept])
-            members = Members([received(d) for d in firsts]) if kept else None
-            met = []
-            for row, own in zip(rows, data, strict=True):
-                earlier = int(np.searchsorted(docs, row["doc"])) if row["asks"] and kept else 0
-                if not earlier:
-                    continue
-                for k in members.similar(received(own), earlier, width, percent).tolist():
-                    met.append(tuple(x[n] for x in (row, kept[k]) for n in ("doc", "cls", "span")))
-            if met:
-                columns = zip(*met, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+            for i in np.flatnonzero(home).tolist():
+                firsts.setdefault(data[i], i)
+            kept = np.fromiter(firsts.values(), np.int64)
+            asking = np.flatnonzero(asks)
+            earlier = np.searchsorted(doc[kept], doc[asking])
+            if not earlier.any():
+                continue
+            members = Members([received(d) for d in list(firsts)[: earlier.max()]])
+            met = [
+                (i, members.similar(received(data[i]), n, width, percent))
+                for i, n in zip(asking.tolist(), earlier.tolist(), strict=True)
+                if n
+            ]
+            one = np.repeat([i for i, _ in met], [len(k) for _, k in met])
+            other = kept[np.concatenate([k for _, k in met])]
+            held.append([x[rows] for rows in (one.astype(np.int64), other) for x in place])
+            size += len(one)
+            if size >= MET_ROWS:
+                yield _joined(held, names)
+                held, size = [], 0
+        if size:
+            yield _joined(held, names)
 
     return run
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import sys
 from pathlib import Path
 
@@ -31,7 +32,7 @@ from seriesmart.llm import (  # noqa: E402
 )
 from seriesmart.llm.library_ids import load  # noqa: E402
 from seriesmart.llm.pieces import units  # noqa: E402
-from seriesmart.llm.shingles import shingle_set  # noqa: E402
+from seriesmart.llm.shingles import Runs, shingle_set, shingles  # noqa: E402
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ids string, score string, shard int"
@@ -215,6 +216,59 @@ def test_passages_elsewhere_in_the_other_text():
         assert gone == set(range(len(second)))
 
 
+def test_texts_of_a_batch_are_tokenized_and_windowed_together(monkeypatch):
+    """One call for many texts (before: one for each) gives what each gives alone."""
+    r = random.Random(7)
+    texts = [" ".join(f"W{r.randint(0, 60)}" for _ in range(r.randint(50, 300))) for _ in range(60)]
+    texts += ["", " \t ", "Ä\u00a0b \x0b" + texts[0] + "\r\n", " ".join(["line of five words here"] * 40), "a " * 49]
+    columns = [pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["doc", "cls", "text"])
+    rows = pa.Table.from_batches(passages._tokenize(46)(iter([batch.slice(0, 7), batch.slice(7)]))).to_pylist()
+    alone = [passages._tokens(t) for t in texts]
+    kept = [k for k, tokens in enumerate(alone) if len(tokens) >= 46]
+    assert [(row["doc"], row["n"], row["tokens"]) for row in rows] == [(k, len(alone[k]) + 4, passages.sent(alone[k])) for k in kept]
+
+    calls, plain = [], passages.compact_windows
+    monkeypatch.setattr(passages, "compact_windows", lambda *a: calls.append(0) or plain(*a))
+    tokens = pa.RecordBatch.from_arrays([pa.array([row[n] for row in rows]) for n in ("doc", "cls", "tokens")], names=["doc", "cls", "tokens"])
+    found = pa.Table.from_batches(passages._windows(46)(iter([tokens]))).to_pylist()
+    assert len(calls) == 1
+    expected = []
+    for k in kept:
+        v = passages.mix(alone[k][None, :] ^ passages.SEEDS[: passages.HASHES, None])
+        for number, values in enumerate(v.tolist()):
+            # The least position of each run, the first of equal ones above it: windows that a run has as its own.
+            for c, x in enumerate(values):
+                l = max((i + 1 for i in range(c) if values[i] <= x), default=0)
+                e = min((i for i in range(c + 1, len(values)) if values[i] < x), default=len(values))
+                if e - l >= 46:
+                    expected.append((k, l << 32 | e - 1, c << 1 | number))
+    assert sorted((w["doc"], w["span"], w["at"]) for w in found) == sorted(expected)
+
+
+def test_runs_are_hashed_at_places():
+    words = np.random.default_rng(3).integers(0, 1 << 63, 400).astype(np.uint64)
+    for width in (1, 12, 24, 46):
+        at = np.arange(0, 401 - width, 7)
+        assert (Runs(words).at(at, width) == shingles(words, width)[at]).all()
+
+
+def test_common_passages_of_texts_that_repeat_tokens():
+    """Counterparts are the nearest to the line, and similarities those of the sets of tokens."""
+    r, found = random.Random(5), 0
+    for _ in range(40):
+        first = [r.choice(["p", "q", f"w{r.randint(0, 400)}"]) for _ in range(400)]
+        copy = [f"x{r.randint(0, 9)}" if r.random() < 0.01 else w for w in first[50:250] + first[200:380]]
+        a, b = (passages._tokens(" ".join(t)) for t in (copy, first))
+        at = np.sort(np.array(r.sample(range(len(b)), 350)))
+        for places in (np.arange(len(b)), at):
+            for s, e, p, q, near in passages.common_passages(a, places, b[places], [(0, 120), (125, len(a) - 1)], 46, 50):
+                one, two = set(a[s:e].tolist()), set(b[places][(places >= p) & (places < q)].tolist())
+                assert near == len(one & two) / len(one | two) >= 0.5 and e - s >= 46
+                found += 1
+    assert found > 80
+
+
 def frequent_lines():
     """Two lines of words with the least tokens of all three hashes; windows around a line have its values."""
     rng, least = np.random.default_rng(5), ([], [])
